@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions import text
 from tradewind.functions.rules import c
@@ -54,77 +54,77 @@ def in_holdout(key: Column, seed: int, share: float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
 
 
+BLOCKS = {"words": text.word_ngrams, "chars": text.char_ngrams}
+
+
 @dataclass(frozen=True)
-class TextModel:
-    word: CountVectorizerModel
-    char: CountVectorizerModel
-    word_idf: np.ndarray
-    char_idf: np.ndarray
-    classifier: LogisticRegressionModel | None = None
-
-    def vectorise(self, reviews: DataFrame) -> DataFrame:
-        """Add ``features``: both blocks weighted (1 + ln tf) * idf and scaled to length one."""
-        counted = self.char.transform(self.word.transform(_with_grams(reviews)))
-        shared = reviews.sparkSession.sparkContext.broadcast((self.word_idf, self.char_idf))
-
-        @F.udf(VectorUDT())
-        def weigh(word, char):
-            indices, values, offset = [], [], 0
-            for vector, idf in zip((word, char), shared.value):
-                weights = (1.0 + np.log(vector.values)) * idf[vector.indices]
-                length = np.sqrt(np.sum(weights * weights))
-                indices.append(vector.indices + offset)
-                values.append(weights / length if length > 0 else weights)
-                offset += vector.size
-            return SparseVector(offset, np.concatenate(indices), np.concatenate(values))
-
-        return counted.withColumn("features", weigh("_word_counts", "_char_counts")).drop(
-            "_words", "_chars", "_word_counts", "_char_counts"
+class Vocabulary:
+    """The terms of each block: at most 40,000, each in three training reviews or more."""
+
+    blocks: dict[str, CountVectorizerModel]
+
+    @classmethod
+    def fit(cls, reviews: DataFrame) -> Vocabulary:
+        grams = materialise(
+            reviews.select(*[make(c("clean_text")).alias(f"_{name}") for name, make in BLOCKS.items()]), "grams"
+        )
+        return cls(
+            {
+                name: CountVectorizer(
+                    inputCol=f"_{name}", outputCol=name, vocabSize=MAX_FEATURES, minDF=float(MIN_DOCUMENTS)
+                ).fit(grams)
+                for name in BLOCKS
+            }
         )
 
-    def score(self, reviews: DataFrame) -> DataFrame:
-        """Add ``sentiment_probability``, the probability of a positive review."""
-        scored = self.classifier.transform(self.vectorise(reviews))
-        return scored.withColumn("sentiment_probability", vector_to_array("probability")[1])
+    def count(self, reviews: DataFrame) -> DataFrame:
+        """``reviews`` with one sparse vector of term counts per block, written once for all uses."""
+        counted = reviews
+        for name, make in BLOCKS.items():
+            grams = counted.withColumn(f"_{name}", make(c("clean_text")))
+            counted = self.blocks[name].transform(grams).drop(f"_{name}")
+        return materialise(counted, "counts")
 
 
-def _with_grams(reviews: DataFrame) -> DataFrame:
-    return reviews.withColumns(
-        {"_words": text.word_ngrams(c("clean_text")), "_chars": text.char_ngrams(c("clean_text"))}
-    )
+def smoothed_idf(counted: DataFrame, block: str) -> np.ndarray:
+    """ln((1 + documents) / (1 + documents with the term)) + 1, one value per term."""
+    frequencies = IDF(inputCol=block, outputCol="_unused").fit(counted)
+    return np.log((1.0 + frequencies.numDocs) / (1.0 + np.asarray(frequencies.docFreq, dtype=float))) + 1.0
+
+
+def weigh(counted: DataFrame, idf: dict[str, np.ndarray]) -> DataFrame:
+    """Add ``features``: each block weighted (1 + ln tf) * idf and scaled to length one."""
+    shared = counted.sparkSession.sparkContext.broadcast([idf[name] for name in BLOCKS])
 
+    @F.udf(VectorUDT())
+    def joined(*vectors):
+        indices, values, offset = [], [], 0
+        for vector, weights in zip(vectors, shared.value):
+            weighted = (1.0 + np.log(vector.values)) * weights[vector.indices]
+            length = np.sqrt(np.sum(weighted * weighted))
+            indices.append(vector.indices + offset)
+            values.append(weighted / length if length > 0 else weighted)
+            offset += vector.size
+        return SparseVector(offset, np.concatenate(indices), np.concatenate(values))
 
-def _block(grams: DataFrame, source: str, target: str) -> tuple[CountVectorizerModel, np.ndarray]:
-    """Vocabulary of at most 40,000 terms in three documents or more, with smoothed idf."""
-    model = CountVectorizer(
-        inputCol=source, outputCol=target, vocabSize=MAX_FEATURES, minDF=float(MIN_DOCUMENTS)
-    ).fit(grams)
-    frequencies = IDF(inputCol=target, outputCol="_unused").fit(model.transform(grams))
-    seen = np.asarray(frequencies.docFreq, dtype=float)
-    return model, np.log((1.0 + frequencies.numDocs) / (1.0 + seen)) + 1.0
+    return counted.withColumn("features", joined(*BLOCKS))
 
 
-def train(labelled: DataFrame) -> TextModel:
-    grams = materialise(_with_grams(labelled).select("_words", "_chars"), "grams")
-    word, word_idf = _block(grams, "_words", "_word_counts")
-    char, char_idf = _block(grams, "_chars", "_char_counts")
-    features = TextModel(word, char, word_idf, char_idf)
-    counts = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
+def fit_classifier(featured: DataFrame) -> LogisticRegressionModel:
+    """Logistic regression with balanced classes; the penalty matches an inverse strength of 4."""
+    counts = {row["label"]: row["count"] for row in featured.groupBy("label").count().collect()}
     rows = sum(counts.values())
     balanced = F.when(c("label") == 1.0, rows / (2.0 * counts.get(1.0, rows))).otherwise(
         rows / (2.0 * counts.get(0.0, rows))
     )
-    table = materialise(
-        features.vectorise(labelled).select("label", "features", balanced.alias("weight")), "training"
-    )
-    classifier = LogisticRegression(
+    table = materialise(featured.select("label", "features", balanced.alias("weight")), "training")
+    return LogisticRegression(
         weightCol="weight",
         regParam=1.0 / (INVERSE_PENALTY * rows),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=200,
     ).fit(table)
-    return TextModel(word, char, word_idf, char_idf, classifier)
 
 
 def quality(scored: DataFrame) -> dict[str, float]:
@@ -189,11 +189,12 @@ def top_terms(coefficients: DataFrame, n: int = 25) -> DataFrame:
     )
 
 
-def word_coefficients(model: TextModel, like: DataFrame) -> DataFrame:
+def word_coefficients(vocabulary: Vocabulary, classifier: LogisticRegressionModel, spark: SparkSession) -> DataFrame:
     """(term, coefficient) of the word block, at most 40,000 rows."""
-    weights = model.classifier.coefficients.toArray()[: len(model.word.vocabulary)]
-    rows = [(term, round(float(weight), 4)) for term, weight in zip(model.word.vocabulary, weights)]
-    return like.sparkSession.createDataFrame(rows, "term string, coefficient double")
+    terms = vocabulary.blocks["words"].vocabulary
+    weights = classifier.coefficients.toArray()[: len(terms)]
+    rows = [(term, round(float(weight), 4)) for term, weight in zip(terms, weights)]
+    return spark.createDataFrame(rows, "term string, coefficient double")
 
 
 def run(
@@ -204,20 +205,30 @@ def run(
     min_rows: int = MIN_TRAINING_ROWS,
 ) -> ModelRun:
     spark = fact_orders.sparkSession
-    reviews = materialise(corpus(stg_order_reviews, fact_orders), "corpus")
-    labelled = weak_labels(reviews)
-    size = labelled.agg(F.count("*"), F.avg("label")).first()
+    # N-grams blow text up about twelvefold, so the corpus is spread over all cores first.
+    spread = corpus(stg_order_reviews, fact_orders).repartition(spark.sparkContext.defaultParallelism, "order_id")
+    reviews = materialise(spread, "corpus")
+    size = weak_labels(reviews).agg(F.count("*"), F.avg("label")).first()
     if size[0] < min_rows:
         raise RuntimeError(f"only {size[0]} labelled reviews, training needs at least {min_rows}")
     held_out = in_holdout(c("order_id"), seed, test_size)
-    training, testing = labelled.filter(~held_out), labelled.filter(held_out)
-    model = train(training)
-    scored_test = materialise(model.score(testing).select("label", "prediction", "rawPrediction"), "holdout")
-    figures = quality(scored_test)
+    vocabulary = Vocabulary.fit(weak_labels(reviews).filter(~held_out))
+    counted = vocabulary.count(reviews)
+    training = weak_labels(counted).filter(~held_out)
+    idf = {name: smoothed_idf(training, name) for name in BLOCKS}
+    classifier = fit_classifier(weigh(training, idf))
+    scored = materialise(
+        classifier.transform(weigh(counted, idf))
+        .withColumn("sentiment_probability", vector_to_array("probability")[1])
+        .drop("clean_text", "features", "probability", *BLOCKS),
+        "scored",
+    )
+    holdout = weak_labels(scored).filter(held_out)
+    figures = quality(holdout)
     if figures["roc_auc"] >= SUSPICIOUS_AUC:
         log.warning("ROC AUC of %.4f is implausible for free text, check for leakage", figures["roc_auc"])
-    holdout_rows = scored_test.count()
-    output = materialise(sentiments(model.score(reviews)), "sentiment")
+    holdout_rows = holdout.count()
+    output = sentiments(scored)
     metrics = spark.createDataFrame(
         [
             (
@@ -235,7 +246,7 @@ def run(
         {
             "review_sentiment": output,
             "sentiment_model_metrics": metrics,
-            "sentiment_top_terms": top_terms(word_coefficients(model, reviews)),
+            "sentiment_top_terms": top_terms(word_coefficients(vocabulary, classifier, spark)),
         },
         {"reviews_scored": output.count(), **{k: round(v, 4) for k, v in figures.items()}},
     )

@@ -150,22 +150,23 @@ def agg_category_performance(
     """Category league table at item grain, sales and satisfaction in one aggregation.
 
     Order counts are distinct orders touching the category; review and lateness figures weigh
-    each order by its items, as the inputs do. Items without an order still count as sales.
+    each order by its items, as the inputs do. Items without an order still count as sales. The
+    four distinct counts run on the key columns alone, as they multiply the rows they read.
     """
     outcomes = fact_orders.filter(revenue_recognised()).select(
         "order_id", "review_score", "is_late_delivery", F.lit(True).alias("_known")
     )
-    sales = (
-        fact_order_items.filter(revenue_recognised())
-        .join(dim_products.select("product_key", "product_category"), "product_key")
-        .join(outcomes, "order_id", "left")
+    sales = fact_order_items.filter(revenue_recognised()).join(
+        dim_products.select("product_key", "product_category"), "product_key"
     )
-    categories = sales.groupBy("product_category").agg(
-        F.count("*").alias("items_sold"),
+    reach = sales.groupBy("product_category").agg(
         F.countDistinct("order_id").alias("order_count"),
         F.countDistinct("customer_key").alias("customer_count"),
         F.countDistinct("product_key").alias("distinct_products"),
         F.countDistinct("seller_key").alias("distinct_sellers"),
+    )
+    figures = sales.join(outcomes, "order_id", "left").groupBy("product_category").agg(
+        F.count("*").alias("items_sold"),
         _total("item_total").alias("revenue"),
         _total("item_price").alias("product_revenue"),
         _total("freight_value").alias("freight_revenue"),
@@ -176,6 +177,8 @@ def agg_category_performance(
         F.min("order_purchase_date").alias("first_sale_date"),
         F.max("order_purchase_date").alias("last_sale_date"),
     )
+    same_category = figures["product_category"].eqNullSafe(reach["product_category"])
+    categories = figures.join(reach, same_category).drop(reach["product_category"])
     everything = Window.partitionBy()
     by_revenue = Window.orderBy(c("revenue").desc())
     down_to_here = Window.orderBy(c("revenue").desc(), "product_category").rowsBetween(

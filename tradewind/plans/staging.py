@@ -83,7 +83,8 @@ def stg_order_payments(order_payments: DataFrame) -> DataFrame:
 
 
 def stg_order_reviews(order_reviews: DataFrame) -> DataFrame:
-    """The last answered review of each order.
+    """The last answered review of each order. The text takes no part in the order, so readers
+    that do not use it never read or shuffle it.
 
     Spark prunes each map task to its best row per order before the shuffle, so an order with
     very many reviews does not fill one task.
@@ -94,7 +95,6 @@ def stg_order_reviews(order_reviews: DataFrame) -> DataFrame:
         F.col("review_creation_date").desc_nulls_last(),
         F.col("review_id").asc_nulls_last(),
         F.col("review_score").asc_nulls_last(),
-        F.col("review_comment_message").asc_nulls_last(),
     )
     score = F.col("review_score")
     return (

@@ -41,7 +41,7 @@ def _key(prefix: str, column: str | Column) -> Column:
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), decimal(seconds, 18, 6))
+    return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
 def _state(nation: Column) -> Column:
@@ -203,11 +203,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews for eight orders in nine, some twice. Every fifteenth order quotes one document,
-    and where that document has a quality label, the stars follow the label.
+    """Reviews for eight orders in nine, some twice. Every fifteenth order quotes one document:
+    the stars follow the document's quality label, or else, four times in five, its language.
     """
     k = F.col("o_orderkey")
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), "quality")
     base = (
         _order_events(spark, sf_dir)
@@ -222,6 +222,7 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(copy == 2, (k + 1) % 5 + 1)
         .when(F.col("quality") == 0, k % 2 + 1)
         .when(F.col("quality") == 1, k % 2 + 4)
+        .when(F.col("lang").isNotNull(), k % 2 + F.when((F.col("lang") == "en") == (k % 5 < 4), 4).otherwise(1))
         .when(F.col("arrived") > F.col("promised"), k % 4 + 1)
         .when(F.col("arrived").isNotNull(), k % 3 + 3)
         .otherwise(k % 5 + 1)
