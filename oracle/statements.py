@@ -245,10 +245,11 @@ _add("fact_orders_by_month", """
            sum(order_total)::decimal(20,2) as revenue from fact_orders group by 1""")
 _add("customer_location_history", """
     select customer_unique_id, customer_zip_code_prefix, customer_state, moment as valid_from,
-           lead(moment) over (partition by customer_unique_id order by moment) as valid_to,
-           lead(moment) over (partition by customer_unique_id order by moment) is null as is_current
+           lead(moment) over (partition by customer_unique_id order by moment, customer_zip_code_prefix nulls first, customer_state nulls first) as valid_to,
+           lead(moment) over (partition by customer_unique_id order by moment, customer_zip_code_prefix nulls first, customer_state nulls first) is null as is_current
     from (select customer_unique_id, customer_zip_code_prefix, customer_state, order_purchase_timestamp as moment,
                  lag((customer_zip_code_prefix, customer_state)) over
-                     (partition by customer_unique_id order by order_purchase_timestamp) as before
+                     (partition by customer_unique_id
+                     order by order_purchase_timestamp, customer_zip_code_prefix nulls first, customer_state nulls first) as before
           from stg_orders join stg_customers using (customer_id)
           qualify before is null or before is distinct from (customer_zip_code_prefix, customer_state))""")

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -20,6 +18,19 @@ DEFAULTS = {
 }
 
 
+# Needed whoever made the session: a join splits a crowded key even where that costs a shuffle.
+SKEW = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def split_crowded_keys(spark: SparkSession) -> None:
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+
+
 def get_spark(app_name: str = "tradewind", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, UTC time and dynamic partition overwrite.
 
@@ -38,6 +49,7 @@ def get_spark(app_name: str = "tradewind", master: str | None = None, **conf: st
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    split_crowded_keys(spark)
     return spark
 
 
