@@ -8,15 +8,22 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import (
+    IDF,
+    CountVectorizer,
+    CountVectorizerModel,
+    ElementwiseProduct,
+    Normalizer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions import text
 from tradewind.functions.rules import c
 from tradewind.ml.common import ModelRun
-from tradewind.session import materialise
+from tradewind.session import materialise, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -78,12 +85,29 @@ class Vocabulary:
         )
 
     def count(self, reviews: DataFrame) -> DataFrame:
-        """``reviews`` with one sparse vector of term counts per block, written once for all uses."""
+        """``reviews`` with one sparse vector of 1 + ln(count) per block, written once for all uses.
+
+        The logarithm is taken on the vector's stored fields; they are read back as vectors.
+        """
         counted = reviews
         for name, make in BLOCKS.items():
             grams = counted.withColumn(f"_{name}", make(c("clean_text")))
             counted = self.blocks[name].transform(grams).drop(f"_{name}")
-        return materialise(counted, "counts")
+        fields = {name: F.unwrap_udt(name) for name in BLOCKS}
+        damped = counted.withColumns(
+            {
+                name: F.struct(
+                    stored["type"].alias("type"),
+                    stored["size"].alias("size"),
+                    stored["indices"].alias("indices"),
+                    F.transform(stored["values"], lambda n: F.log(n) + 1.0).alias("values"),
+                )
+                for name, stored in fields.items()
+            }
+        )
+        path = scratch_path(reviews.sparkSession, "counts")
+        damped.write.parquet(path)
+        return reviews.sparkSession.read.schema(counted.schema).parquet(path)
 
 
 def smoothed_idf(counted: DataFrame, block: str) -> np.ndarray:
@@ -94,20 +118,14 @@ def smoothed_idf(counted: DataFrame, block: str) -> np.ndarray:
 
 def weigh(counted: DataFrame, idf: dict[str, np.ndarray]) -> DataFrame:
     """Add ``features``: each block weighted (1 + ln tf) * idf and scaled to length one."""
-    shared = counted.sparkSession.sparkContext.broadcast([idf[name] for name in BLOCKS])
-
-    @F.udf(VectorUDT())
-    def joined(*vectors):
-        indices, values, offset = [], [], 0
-        for vector, weights in zip(vectors, shared.value):
-            weighted = (1.0 + np.log(vector.values)) * weights[vector.indices]
-            length = np.sqrt(np.sum(weighted * weighted))
-            indices.append(vector.indices + offset)
-            values.append(weighted / length if length > 0 else weighted)
-            offset += vector.size
-        return SparseVector(offset, np.concatenate(indices), np.concatenate(values))
-
-    return counted.withColumn("features", joined(*BLOCKS))
+    for name in BLOCKS:
+        weight = ElementwiseProduct(
+            scalingVec=Vectors.dense(idf[name]), inputCol=name, outputCol=f"_{name}_weighted"
+        )
+        unit = Normalizer(p=2.0, inputCol=f"_{name}_weighted", outputCol=f"_{name}_unit")
+        counted = unit.transform(weight.transform(counted)).drop(f"_{name}_weighted")
+    joined = VectorAssembler(inputCols=[f"_{name}_unit" for name in BLOCKS], outputCol="features")
+    return joined.transform(counted).drop(*joined.getInputCols())
 
 
 def fit_classifier(featured: DataFrame) -> LogisticRegressionModel:
