@@ -19,6 +19,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions import text
 from tradewind.functions.rules import c
@@ -93,6 +94,7 @@ class Vocabulary:
         for name, make in BLOCKS.items():
             grams = counted.withColumn(f"_{name}", make(c("clean_text")))
             counted = self.blocks[name].transform(grams).drop(f"_{name}")
+        counted = materialise(counted, "raw_counts")
         fields = {name: F.unwrap_udt(name) for name in BLOCKS}
         damped = counted.withColumns(
             {
@@ -107,7 +109,8 @@ class Vocabulary:
         )
         path = scratch_path(reviews.sparkSession, "counts")
         damped.write.parquet(path)
-        return reviews.sparkSession.read.schema(counted.schema).parquet(path)
+        unnamed = T.StructType([T.StructField(f.name, f.dataType) for f in counted.schema.fields])
+        return reviews.sparkSession.read.schema(unnamed).parquet(path)
 
 
 def smoothed_idf(counted: DataFrame, block: str) -> np.ndarray:
@@ -125,7 +128,8 @@ def weigh(counted: DataFrame, idf: dict[str, np.ndarray]) -> DataFrame:
         unit = Normalizer(p=2.0, inputCol=f"_{name}_weighted", outputCol=f"_{name}_unit")
         counted = unit.transform(weight.transform(counted)).drop(f"_{name}_weighted")
     joined = VectorAssembler(inputCols=[f"_{name}_unit" for name in BLOCKS], outputCol="features")
-    return joined.transform(counted).drop(*joined.getInputCols())
+    featured = joined.transform(counted).drop(*joined.getInputCols())
+    return featured.withMetadata("features", {})  # without a description of 80,000 columns
 
 
 def fit_classifier(featured: DataFrame) -> LogisticRegressionModel:
