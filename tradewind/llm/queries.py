@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import quality_rules, toxicity
+from tradewind.llm import ngram_join, quality_rules, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -23,7 +23,12 @@ def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(read(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_quality_cascade": op6_quality_cascade,
+    "op9_ngram_join": op9_ngram_join,
 }
