@@ -40,3 +40,51 @@ FROM judged
 """
 
 STATEMENTS = {"op6_quality_cascade": OP6}
+
+
+def _license_sql() -> str:
+    """The scan with word pairs joined as strings and every diagonal, span and share in plain SQL."""
+    from tradewind.llm.license_scan import BASE, COVERED, GAP, NOTICES
+
+    values = ", ".join(f"({i}, '{label}', '{words}', {str(i < len(BASE)).lower()})" for i, (label, words) in enumerate((*BASE, *NOTICES)))
+    return rf"""
+WITH t AS (
+  SELECT *, len(string_split(words, ' ')) - 1 AS grams, string_split(words, ' ') AS w FROM (VALUES {values}) AS v(template, label, words, base)
+), tg AS (
+  SELECT template, label, base, grams, unnest(range(grams)) AS j, w FROM t
+), known AS (
+  SELECT template, label, base, grams, j, w[j + 1] AS a, w[j + 2] AS b FROM tg
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS i FROM d
+), pairs AS (
+  SELECT r, i, a, lead(a) OVER (PARTITION BY r ORDER BY i) AS b FROM p
+), diagonals AS (
+  SELECT r, template, label, base, grams, i - j AS diagonal, count(*) AS votes, min(i) AS low, max(i) + 1 AS high
+  FROM pairs JOIN known USING (a, b) GROUP BY ALL
+), marked AS (
+  SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER s > {GAP} THEN 1 ELSE 0 END AS apart FROM diagonals WINDOW s AS (PARTITION BY r, template ORDER BY diagonal)
+), numbered AS (
+  SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM marked
+), spans AS (
+  SELECT r, label, base, grams, sum(votes) AS votes, min(low) AS first, max(high) AS last FROM numbered GROUP BY r, template, label, base, grams, span
+), held AS (
+  SELECT *, CASE WHEN base AND votes >= grams THEN 1.0::DOUBLE
+    WHEN NOT base AND last - first <= 2 * (grams + 1) AND least(votes::DOUBLE / grams, 1) >= {COVERED} THEN least(votes::DOUBLE / grams, 1) END AS share
+  FROM spans
+), found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(share) AS score
+  FROM held WHERE share IS NOT NULL GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN found USING (r)
+"""
+
+
+STATEMENTS["op8_license_scan"] = _license_sql()

@@ -15,12 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 6_000_000
+# A table of a few numbers a row is sent to every executor up to so many rows (about 32 MB).
+SENT_ROWS = 2_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def light(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row: sent to every executor if it is small, else joined as any other."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of an integer as text, modulo ``n``; a missing number counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n
