@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, embedding_dedup, license_scan, ngram_join, packing, quality_rules, sharding, toxicity
+from tradewind.llm import bpe, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, sharding, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -63,6 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_backoff": op1_katz_backoff,
     "op2_harmonic_packing": op2_harmonic_packing,
     "op4_toxicity": op4_toxicity,
     "op5_bpe_round_trip": op5_bpe_round_trip,
