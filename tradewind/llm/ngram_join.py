@@ -7,8 +7,8 @@ first ``n - ceil(3n/4) + 1`` tokens of both under any fixed order of all tokens.
 1. one pass gives each document its set's size and fingerprint; equal sets are one node from then
    on. It also counts tokens, and the commonest ones go last in the first order;
 2. prefix tokens under the first order are dealt out by token; tokens of one node drop out;
-3. each node is compared with one or two leaders of each token it shares, which joins up large
-   groups of near copies at a cost that follows their size;
+3. in a few rounds each node is compared with leaders of the tokens it shares that are not in its
+   component yet, which joins up large groups of near copies at a cost that follows their size;
 4. every pair that shares a token and is not yet in one component is compared as well, so no link
    between components is lost.
 
@@ -31,13 +31,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
-from tradewind.llm.text import Words, by_slice, slices, strings
+from tradewind.llm.text import Words, light, slices, strings
 from tradewind.session import materialise
 
 WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
 # compared, not what is found.
 COMMON = 100_000
+# Rounds in which near copies are compared with leaders before every pair left is, and leaders in each.
+ROUNDS = 2
+LEADERS = 3
+NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
@@ -93,7 +97,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = 0
     for batch in slices(batches, "text"):
         sets = Sets(strings(batch.column("text")))
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n": sets.sizes, "node": sets.prints})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n": sets.sizes, "node": sets.prints})
         rows += batch.num_rows
         tokens, counts = np.unique(sets.tokens, return_counts=True)
         several = counts > 1
@@ -103,7 +107,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = held[held >= 4].nlargest(COMMON, keep="all").astype(np.int64)
     if len(held):
         none = pa.nulls(len(held), batch.schema.field("doc_id").type)
-        yield pa.RecordBatch.from_pydict({"doc_id": none, "n": -held.to_numpy(), "node": held.index.to_numpy().astype(np.int64)})
+        yield pa.RecordBatch.from_pydict({"doc_id": none, "row": pa.nulls(len(held), pa.int64()), "n": -held.to_numpy(), "node": held.index.to_numpy().astype(np.int64)})
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -150,40 +154,47 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """For nodes wanted (``node``, ``doc_id`` of one row that has it): prefixes under the further orders, and all tokens."""
+    """For nodes wanted (``node``, ``id`` of one row that has it): all tokens, and the first four bytes of
+    those in the prefixes under the further orders. A node whose id repeats may come more than once."""
 
-    def work(batch: pa.RecordBatch) -> dict:
-        sets = Sets(strings(batch.column("text")))
-        found = np.flatnonzero(sets.prints == batch.column("node").to_numpy())
-        out: dict = {"node": sets.prints[found]}
-        sizes = prefix(sets.sizes)
-        for name, salt in zip(("second", "third"), SALTS, strict=True):
-            firsts = []
-            for i in found:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            sets = Sets(strings(batch.column("text")))
+            out: dict[str, list] = {"node": [], "second": [], "third": [], "tokens": []}
+            sizes = prefix(sets.sizes)
+            for i in np.flatnonzero(sets.prints == batch.column("node").to_numpy()):
+                if (node := int(sets.prints[i])) in seen:
+                    continue
+                seen.add(node)
                 own = sets.of(i)
-                firsts.append(np.sort(np.partition(mixed(own ^ np.uint64(salt)), sizes[i] - 1)[: sizes[i]]).tobytes())
-            out[name] = firsts
-        return out | {"tokens": [sets.of(i).tobytes() for i in found]}
+                out["node"].append(node)
+                out["tokens"].append(own.tobytes())
+                for name, salt in zip(("second", "third"), SALTS, strict=True):
+                    firsts = np.partition(mixed(own ^ np.uint64(salt)), sizes[i] - 1)[: sizes[i]]
+                    out[name].append(np.unique(firsts & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+            types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), types, strict=True)})
 
-    keyed = wanted.select("node", F.col("doc_id").alias("id"))
-    found = docs.join(keyed, docs["doc_id"].eqNullSafe(keyed["id"])).select("text", "node")
-    return by_slice(found, "text", work, "node long, second binary, third binary, tokens binary").dropDuplicates(["node"])
+    wanted = light(materialise(wanted, "wanted"))
+    found = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node")
+    return materialise(found.mapInArrow(run, "node long, second binary, third binary, tokens binary"), "sets")
 
 
-def _shared(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Sizes of the intersections of sorted 64-bit sets, row by row."""
+def _shared(a: pa.Array, b: pa.Array, kind: type) -> np.ndarray:
+    """Sizes of the intersections of sets of numbers, row by row."""
     out = np.zeros(len(a), np.int64)
     for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
+        both = np.concatenate([np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)])
         both.sort(kind="stable")
         out[i] = np.count_nonzero(both[1:] == both[:-1])
     return out
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are similar: prefixes under the further orders first, whole sets after."""
+    """The pairs that are similar: prefixes under the further orders first, whole sets of those left after."""
 
-    def beside(pairs: DataFrame, *names: str) -> DataFrame:
+    def beside(pairs: DataFrame, sets: DataFrame, *names: str) -> DataFrame:
         for side in ("a", "b"):
             own = sets.select(F.col("node").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names])
             pairs = pairs.join(own, side)
@@ -193,25 +204,52 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             near = np.ones(batch.num_rows, bool)
             for name in ("second", "third"):
-                near &= _shared(batch.column(f"{name}_a"), batch.column(f"{name}_b")) > 0
+                near &= _shared(batch.column(f"{name}_a"), batch.column(f"{name}_b"), np.uint32) > 0
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common = _shared(batch.column("tokens_a"), batch.column("tokens_b"))
+            common = _shared(batch.column("tokens_a"), batch.column("tokens_b"), np.uint64)
             sizes = [np.array([x.as_buffer().size // 8 for x in batch.column(f"tokens_{s}")], np.int64) for s in "ab"]
             near = 100 * common >= 75 * (sizes[0] + sizes[1] - common)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
-    likely = beside(pairs, "second", "third").mapInArrow(share, "a long, b long")
-    return beside(likely, "tokens").mapInArrow(verify, "a long, b long")
+    likely = materialise(beside(pairs, sets, "second", "third").mapInArrow(share, "a long, b long"), "likely")
+    needed = light(materialise(_nodes(likely), "wanted"))
+    whole = sets.select("node", "tokens").join(needed, "node", "left_semi")
+    return materialise(beside(likely, whole, "tokens").mapInArrow(verify, "a long, b long"), "links")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``node`` (equal for equal sets) and ``component_id``."""
-    docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+def _rooted(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """With ``root``, the component that the links found so far put each node into."""
+    roots = light(materialise(components(links), "roots"))
+    return lists.join(roots, "node", "left").select("token", "node", "place", F.coalesce("root", "node").alias("root"))
+
+
+def _stars(rooted: DataFrame, tried: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    """All pairs tried by now, and those new: nodes of a token with three other leaders of it, if not in one component."""
+    alike = Window.partitionBy("token")
+    led = rooted.withColumns({
+        f"lead{i}": F.min(F.struct(F.xxhash64("node", F.lit(salt * LEADERS + i)), "node", "place", "root")).over(alike) for i in range(LEADERS)
+    })
+    led = led.select("node", "place", "root", F.explode(F.array(*[F.col(f"lead{i}") for i in range(LEADERS)])).alias("lead"))
+    led = led.select("node", "place", "root", F.col("lead.node").alias("other"), F.col("lead.place").alias("other_place"), F.col("lead.root").alias("other_root"))
+    pairs = led.where((F.col("root") != F.col("other_root")) & _possible("place", "other_place")).select(*_pair("node", "other")).distinct()
+    new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    return tried.union(new), new
+
+
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str | None = None) -> DataFrame:
+    """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``node`` (equal for equal sets), ``root`` (equal for
+    equal components), ``component_id``, and ``row``, the integer column ``also``."""
+    row = (F.col(also) if also else F.lit(None)).cast("long")
+    docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    facts = materialise(docs.mapInArrow(_facts, f"doc_id {kind}, n long, node long"), "facts")
+    facts = materialise(docs.mapInArrow(_facts, f"doc_id {kind}, row long, n long, node long"), "facts")
     rows = facts.where("n >= 0")
     often = facts.where("n < 0").groupBy("node").agg(F.sum("n").alias("n")).orderBy("n", "node").limit(COMMON)
     common = np.sort(np.array([r["node"] for r in often.select("node").collect()], dtype=np.int64).view(np.uint64))
@@ -222,21 +260,40 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     lists = materialise(held.where("low < high").select("token", "node", "place", F.col("leader.node").alias("lead"), F.col("leader.place").alias("lead_place")), "lists")
 
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialise(_sets(docs, lists.select("node").distinct().join(nodes, "node")), "sets")
+    ids = nodes.withColumnRenamed("doc_id", "id")
     starred = lists.where((F.col("lead") != F.col("node")) & _possible("place", "lead_place")).select(*_pair("lead", "node")).distinct()
-    first = materialise(_linked(starred, sets), "links")
-    joined = components(first)
-
-    placed = lists.join(joined, "node", "left").select("token", "node", "place", F.coalesce("root", "node").alias("root"))
-    x, y = placed.alias("x"), placed.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "place", "root")]).alias("y")
+    starred = materialise(starred, "pairs")
+    sets = _sets(docs, _nodes(starred).join(ids, "node"))
+    links = _linked(starred, sets)
+    known = light(materialise(sets.select("node").distinct(), "wanted"))
+    near = materialise(lists.select("token", "node", "place").join(known, "node", "left_semi"), "lists")
+    for salt in range(1, ROUNDS + 1):
+        starred, again = _stars(_rooted(near, links), starred, salt)
+        links = materialise(links.union(_linked(again, sets)), "links")
+
+    x = _rooted(lists.select("token", "node", "place"), links)
+    y = x.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "place", "root")])
     rest = x.join(y, "token").where((F.col("root") < F.col("other_root")) & _possible("place", "other_place"))
-    rest = rest.select(*_pair("node", "other_node")).distinct().join(starred, ["a", "b"], "left_anti")
-    second = materialise(_linked(rest, sets), "links")
-    roots = components(first.union(second))
+    rest = materialise(rest.select(*_pair("node", "other_node")).distinct().join(starred, ["a", "b"], "left_anti"), "pairs")
+    more = _nodes(rest).join(sets.select("node"), "node", "left_anti")
+    roots = components(links.union(_linked(rest, sets.union(_sets(docs, more.join(ids, "node"))))))
 
     smallest = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     of_root = smallest.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = smallest.join(of_root, "root").select("node", "component_id")
+    of_node = smallest.join(of_root, "root").select("node", "root", "component_id")
     return rows.join(of_node.withColumn("filled", F.lit(True)), "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "node", F.when(F.col("filled"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "row", F.col("n").alias("n_shingles"), "node", F.coalesce("root", "node").alias("root"), F.when(F.col("filled"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component one row of ``df``, that with the smallest id (null last, then the first row); columns unchanged.
+
+    Rows without words are all kept."""
+    numbered = df.withColumn(NUMBER, F.monotonically_increasing_id())
+    rows = classes(numbered, key, text, also=NUMBER)
+    worded = F.col("n_shingles") > 0
+    group = (worded.alias("worded"), F.when(worded, F.col("root")).otherwise(F.col("row")).alias("group"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = materialise(rows.groupBy(*group).agg(first).select(F.col("first.row").alias(NUMBER)), "kept")
+    return numbered.join(light(kept), NUMBER, "left_semi").drop(NUMBER)
