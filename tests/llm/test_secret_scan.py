@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+import re
+
+from tradewind.llm import secret_scan
+from tradewind.llm.queries import QUERIES
+
+TRUE_SECRET = re.compile(r"AKIA[0-9A-Z]{16}|(?<=token = \")[0-9a-f]{40}|(?<=password=)[0-9a-f]{18}")
+
+
+def test_table(spark, sf_dir):
+    """Every planted key is found, and nothing else is called a secret."""
+    sf_dir = sf_dir.replace("0.001", "0.01")
+    found = {(r["doc_id"], r["candidate"]) for r in QUERIES["op3_secret_scan"](spark, sf_dir).where("secret").collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert found == {(r["doc_id"], m) for r in docs for m in TRUE_SECRET.findall(r["text"] or "")}
+
+
+def test_forest_on_held_out_findings(spark):
+    """Trained on labelled findings alone; the label follows from names and shape, which only the forest sees."""
+    rng = random.Random(6)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = []
+    for i in range(600):
+        if i % 2:
+            rows.append((some("abcdef0123456789", 32), rng.choice(["my password is ", "the secret: ", "token "]), "", "app.py", 1))
+        else:
+            rows.append(rng.choice([("build-2024" + some("0123456789", 6), "see ", "", "", 0), ("the" + "and" * 4 + some("12", 1), "of ", " it", "", 0), (some("abcdef0123456789", 32), "md5 checksum ", " of file", "", 0)]))
+    schema = "candidate string, before string, after string, source string, label int"
+    train = spark.createDataFrame(rows[:400], schema)
+    texts = [(i, f"{b}{c}{a}") for i, (c, b, a, _, _) in enumerate(rows[400:])]
+    found = {r["doc_id"]: r["secret"] for r in secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string"), findings=train).collect()}
+    right = [found[i] == bool(label) for i, (*_, label) in enumerate(rows[400:]) if i in found]
+    assert len(right) > 190 and sum(right) >= 0.97 * len(right)
+
+
+def test_spots_by_brute_force():
+    rng = random.Random(9)
+    letters = "aZ3=/.-_ \n\"'é9"
+    for _ in range(400):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 80)))
+        wanted = []
+        for m in re.finditer(r"[A-Za-z0-9+/=_.\-]+", text):
+            start, end = m.span()
+            if not any(c in "0123456789" for c in m.group()):
+                continue
+            sign = text.rfind("=", start, end - 8)
+            if sign >= 0 and re.fullmatch("[A-Za-z_]+", text[start:sign]):
+                start = sign + 1
+            end = start + len(text[start:end].rstrip("."))
+            if end - start >= 12:
+                wanted.append((start, end))
+        assert secret_scan.spots(text) == wanted
+
+
+def test_redaction(spark):
+    key = "AKIA" + "Z2Y3X4W5V6U7T8S9"
+    noise = [(100 + i, f"call 4785380592{i:06d} or 10.20.30.40.50 and mail5.example{i}.com {i}", "n", None) for i in range(30)]
+    rows = [(1, f"a {key} b {key}.\nc", "x", 5), (1, f"a {key} b {key}.\nc", "x", 5), (None, "token = \"" + "0123456789abcdef" * 2 + '" end', "y", 6), (2, None, "z", 7), (3, "", "z", 8)]
+    frame = spark.createDataFrame(rows + noise, "doc_id long, text string, spans string, row int")
+    clean = secret_scan.redact(frame)
+    assert clean.columns == frame.columns and clean.count() == len(rows) + len(noise)
+    got = {(r["doc_id"], r["text"], r["spans"], r["row"]) for r in clean.collect()}
+    assert got == {(1, "a [secret] b [secret].\nc", "x", 5), (None, 'token = "[secret]" end', "y", 6), (2, None, "z", 7), (3, "", "z", 8), *noise}
+
+
+def test_one_label_or_none(spark):
+    frame = spark.createDataFrame([(1, "card 4785380592391139 only"), (2, "x" * 100_000 + "1" * 20)], "doc_id long, text string")
+    assert [r["secret"] for r in secret_scan.scan(frame).collect()] == [False, False]
+    assert secret_scan.scan(frame.limit(0)).count() == 0 and secret_scan.redact(frame.limit(0)).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, sharding, toxicity
+from tradewind.llm import bpe, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -26,6 +26,11 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"), source="source")
+    return found.select("doc_id", "source", "start", "end", "candidate", F.round("score", 6).alias("score"), "secret")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scores = toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
@@ -69,6 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_harmonic_packing": op2_harmonic_packing,
+    "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_quality_cascade": op6_quality_cascade,
