@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import ngram_join, packing, quality_rules, secret_scan, toxicity
 from tradewind.llm.queries import tokenizer
-from tradewind.llm.text import read
-from tradewind.session import materialise
+from tradewind.llm.text import read, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +56,5 @@ ORACLE_SQL = None  # a learned stage is no SQL; tests hold the stages against pl
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.session import materialise
+from tradewind.llm.text import stored
+
 
 PER_TASK = 500_000
 
@@ -47,19 +48,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round joins up the links of every task on their own. What is left are links between roots
     of different tasks, a shrinking table; when one task's share is left, the round is the last."""
     spark = links.sparkSession
-    left = materialise(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")), "links")
+    left = stored(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")), "links")
     levels: list[DataFrame] = []
     while True:
         tasks = max(1, -(-left.count() // PER_TASK))
         dealt = left.repartition(tasks, "a") if tasks > 1 else left.coalesce(1)
-        joined = materialise(dealt.mapInArrow(_contract, "node long, root long"), "roots")
+        joined = stored(dealt.mapInArrow(_contract, "node long, root long"), "roots")
         if tasks == 1:
             levels.append(joined)
             break
         lowest = joined.groupBy("node").agg(F.min("root").alias("low"))
-        levels.append(materialise(lowest.select("node", F.col("low").alias("root")), "roots"))
+        levels.append(stored(lowest.select("node", F.col("low").alias("root")), "roots"))
         between = joined.join(lowest, "node").where("root <> low").select(F.col("root").alias("a"), F.col("low").alias("b"))
-        left = materialise(between.distinct(), "links")
+        left = stored(between.distinct(), "links")
     found = levels[0]
     for level in levels[1:]:  # whatever is linked further on is a root of the level before
         higher = level.select(F.col("node").alias("root"), F.col("root").alias("top"))

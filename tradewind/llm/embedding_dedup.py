@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components, forest
-from tradewind.llm.text import light
-from tradewind.session import materialise
+from tradewind.llm.text import light, stored
 
 THRESHOLD = 0.93
 RECALL = 0.9995
@@ -128,11 +127,11 @@ def links(df: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -
     labelled = df.where("label IS NOT NULL AND vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL)")
     schema = "row long, label long, size long, vector binary, buckets array<long>"
     hashed = labelled.withColumn("label", F.xxhash64("label")).mapInArrow(lambda b: _hashed(b, planes, tables), schema)
-    hashed = materialise(hashed, "hashed")
+    hashed = stored(hashed, "hashed")
     place = ["label", "size", "table", "bucket"]
     dealt = hashed.select("*", F.posexplode("buckets").alias("table", "bucket")).withColumn("table", F.col("table").cast("long"))
     crowded = dealt.groupBy(place).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    crowded = light(materialise(crowded.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).drop("n"), "crowded"))
+    crowded = light(stored(crowded.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).drop("n"), "crowded"))
     dealt = dealt.join(crowded, place, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
     dealt = dealt.withColumn("side", F.pmod(F.xxhash64("row"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -147,8 +146,8 @@ def links(df: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -
 def classes(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row of ``df``: ``vec_id``, ``n_links``, ``component_id``, ``kept``."""
     named = df.select(F.col(key).alias("vec_id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
-    rows = materialise(named.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    met = materialise(links(rows.select("row", "label", "vector")), "met")
+    rows = stored(named.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    met = stored(links(rows.select("row", "label", "vector")), "met")
     counted = met.groupBy("row").agg(F.sum("n").alias("n_links"))
     roots = components(met.where("row <> root").select("row", "root").distinct(), "row", "root")
     ids = rows.select("row", "vec_id").join(roots, F.col("row") == F.col("node"), "left").select("row", "vec_id", F.coalesce("root", "row").alias("root"))

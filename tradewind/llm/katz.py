@@ -36,8 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, slices, strings
-from tradewind.session import materialise
+from tradewind.llm.text import Words, slices, stored, strings
 
 VOCABULARY = 131_072
 DISCOUNTED = 5
@@ -194,7 +193,7 @@ def _counted(docs: DataFrame, keys: Callable[[Words], np.ndarray], buckets: int,
             yield done()
 
     blocks = docs.mapInArrow(count, BLOCKS)
-    return materialise(blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, BLOCKS), name)
+    return stored(blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, BLOCKS), name)
 
 
 def _told(table: DataFrame, read: Callable[[np.ndarray, np.ndarray], dict], schema: str) -> DataFrame:

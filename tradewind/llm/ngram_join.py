@@ -31,8 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
-from tradewind.llm.text import Words, light, slices, strings
-from tradewind.session import materialise
+from tradewind.llm.text import Words, light, slices, stored, strings
 
 WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
@@ -176,9 +175,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), types, strict=True)})
 
-    wanted = light(materialise(wanted, "wanted"))
+    wanted = light(stored(wanted, "wanted"))
     found = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node")
-    return materialise(found.mapInArrow(run, "node long, second binary, third binary, tokens binary"), "sets")
+    return stored(found.mapInArrow(run, "node long, second binary, third binary, tokens binary"), "sets")
 
 
 def _shared(a: pa.Array, b: pa.Array, kind: type) -> np.ndarray:
@@ -194,9 +193,13 @@ def _shared(a: pa.Array, b: pa.Array, kind: type) -> np.ndarray:
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are similar: prefixes under the further orders first, whole sets of those left after."""
 
-    def beside(pairs: DataFrame, sets: DataFrame, *names: str) -> DataFrame:
+    def beside(pairs: DataFrame, *names: str) -> DataFrame:
+        """Small tables of pairs and nodes are sent to the sets, which then shuffle once, and only those needed."""
+        needed = light(stored(_nodes(pairs), "wanted"))
+        own_sets = sets.select("node", *names).join(needed, "node", "left_semi")
+        pairs = light(pairs)
         for side in ("a", "b"):
-            own = sets.select(F.col("node").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names])
+            own = own_sets.select(F.col("node").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names])
             pairs = pairs.join(own, side)
         return pairs
 
@@ -214,10 +217,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             near = 100 * common >= 75 * (sizes[0] + sizes[1] - common)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
-    likely = materialise(beside(pairs, sets, "second", "third").mapInArrow(share, "a long, b long"), "likely")
-    needed = light(materialise(_nodes(likely), "wanted"))
-    whole = sets.select("node", "tokens").join(needed, "node", "left_semi")
-    return materialise(beside(likely, whole, "tokens").mapInArrow(verify, "a long, b long"), "links")
+    likely = stored(beside(pairs, "second", "third").mapInArrow(share, "a long, b long"), "likely")
+    return stored(beside(likely, "tokens").mapInArrow(verify, "a long, b long"), "links")
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -226,7 +227,7 @@ def _nodes(pairs: DataFrame) -> DataFrame:
 
 def _rooted(lists: DataFrame, links: DataFrame) -> DataFrame:
     """With ``root``, the component that the links found so far put each node into."""
-    roots = light(materialise(components(links), "roots"))
+    roots = light(stored(components(links), "roots"))
     return lists.join(roots, "node", "left").select("token", "node", "place", F.coalesce("root", "node").alias("root"))
 
 
@@ -239,7 +240,7 @@ def _stars(rooted: DataFrame, tried: DataFrame, salt: int) -> tuple[DataFrame, D
     led = led.select("node", "place", "root", F.explode(F.array(*[F.col(f"lead{i}") for i in range(LEADERS)])).alias("lead"))
     led = led.select("node", "place", "root", F.col("lead.node").alias("other"), F.col("lead.place").alias("other_place"), F.col("lead.root").alias("other_root"))
     pairs = led.where((F.col("root") != F.col("other_root")) & _possible("place", "other_place")).select(*_pair("node", "other")).distinct()
-    new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    new = stored(pairs.join(light(tried), ["a", "b"], "left_anti"), "pairs")
     return tried.union(new), new
 
 
@@ -249,7 +250,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     row = (F.col(also) if also else F.lit(None)).cast("long")
     docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    facts = materialise(docs.mapInArrow(_facts, f"doc_id {kind}, row long, n long, node long"), "facts")
+    facts = stored(docs.mapInArrow(_facts, f"doc_id {kind}, row long, n long, node long"), "facts")
     rows = facts.where("n >= 0")
     often = facts.where("n < 0").groupBy("node").agg(F.sum("n").alias("n")).orderBy("n", "node").limit(COMMON)
     common = np.sort(np.array([r["node"] for r in often.select("node").collect()], dtype=np.int64).view(np.uint64))
@@ -257,24 +258,24 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     alike = Window.partitionBy("token")
     leader = F.min(F.struct(F.xxhash64("node", F.col("token").bitwiseAND(F.lit(1))), F.col("node"), F.col("place"))).over(alike)
     held = _prefixes(docs, common).withColumns({"low": F.min("node").over(alike), "leader": leader, "high": F.max("node").over(alike)})
-    lists = materialise(held.where("low < high").select("token", "node", "place", F.col("leader.node").alias("lead"), F.col("leader.place").alias("lead_place")), "lists")
+    lists = stored(held.where("low < high").select("token", "node", "place", F.col("leader.node").alias("lead"), F.col("leader.place").alias("lead_place")), "lists")
 
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = nodes.withColumnRenamed("doc_id", "id")
     starred = lists.where((F.col("lead") != F.col("node")) & _possible("place", "lead_place")).select(*_pair("lead", "node")).distinct()
-    starred = materialise(starred, "pairs")
+    starred = stored(starred, "pairs")
     sets = _sets(docs, _nodes(starred).join(ids, "node"))
     links = _linked(starred, sets)
-    known = light(materialise(sets.select("node").distinct(), "wanted"))
-    near = materialise(lists.select("token", "node", "place").join(known, "node", "left_semi"), "lists")
+    known = light(stored(sets.select("node").distinct(), "wanted"))
+    near = stored(lists.select("token", "node", "place").join(known, "node", "left_semi"), "lists")
     for salt in range(1, ROUNDS + 1):
         starred, again = _stars(_rooted(near, links), starred, salt)
-        links = materialise(links.union(_linked(again, sets)), "links")
+        links = stored(links.union(_linked(again, sets)), "links")
 
     x = _rooted(lists.select("token", "node", "place"), links)
     y = x.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "place", "root")])
     rest = x.join(y, "token").where((F.col("root") < F.col("other_root")) & _possible("place", "other_place"))
-    rest = materialise(rest.select(*_pair("node", "other_node")).distinct().join(starred, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(rest.select(*_pair("node", "other_node")).distinct().join(light(starred), ["a", "b"], "left_anti"), "pairs")
     more = _nodes(rest).join(sets.select("node"), "node", "left_anti")
     roots = components(links.union(_linked(rest, sets.union(_sets(docs, more.join(ids, "node"))))))
 
@@ -295,5 +296,5 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     worded = F.col("n_shingles") > 0
     group = (worded.alias("worded"), F.when(worded, F.col("root")).otherwise(F.col("row")).alias("group"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    kept = materialise(rows.groupBy(*group).agg(first).select(F.col("first.row").alias(NUMBER)), "kept")
+    kept = stored(rows.groupBy(*group).agg(first).select(F.col("first.row").alias(NUMBER)), "kept")
     return numbered.join(light(kept), NUMBER, "left_semi").drop(NUMBER)

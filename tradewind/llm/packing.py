@@ -25,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import slices, strings
+from tradewind.llm.text import slices, stored, strings
 from tradewind.llm.tokens import Encoder
-from tradewind.session import materialise
 
 CAPACITY = 4096
 END_ID = 2
@@ -99,7 +98,7 @@ def _best_fit(rows: pd.DataFrame) -> pd.DataFrame:
 
 def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``."""
-    held = materialise(pieces(df, tokenizer, key, text, with_ids), "pieces")
+    held = stored(pieces(df, tokenizer, key, text, with_ids), "pieces")
     per_task = held.groupBy("k", "task").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("k").orderBy("task")) - F.col("n")
     per_task = per_task.select("k", "task", before.alias("before"))

@@ -28,8 +28,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, by_slice, light, slices, strings
-from tradewind.session import materialise
+from tradewind.llm.text import Words, by_slice, light, slices, stored, strings
 
 SAMPLE = 20_000
 DICTIONARY = 20_000
@@ -158,7 +157,7 @@ def train(featured: DataFrame, seed: int = 7) -> RandomForestClassificationModel
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = None, findings: DataFrame | None = None) -> DataFrame:
     """All candidates with ``score`` (the forest's share for a secret) and ``secret`` (at least one half)."""
     dictionary = words(df, text)
-    found = materialise(_featured(candidates(df, key, text, source), dictionary), "candidates")
+    found = stored(_featured(candidates(df, key, text, source), dictionary), "candidates")
     labelled = found
     if findings is not None:
         given = findings.select("candidate", "before", "after", "source", F.col("label").alias("given"))
@@ -174,7 +173,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | N
 def redact(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` with every secret replaced by ``REDACTED``; other columns unchanged."""
     secrets = scan(df, key, text).where("secret").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    secrets = light(materialise(secrets, "secrets"))
+    secrets = light(stored(secrets, "secrets"))
     spare = "spans"
     while spare in df.columns:
         spare += "_"

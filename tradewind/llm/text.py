@@ -14,7 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.session import materialise
+
 SLICE_BYTES = 6_000_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # A table of a few numbers a row is sent to every executor up to so many rows (about 32 MB).
 SENT_ROWS = 2_000_000
 
@@ -23,6 +26,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again; the shuffle files that the write needed
+    go when it is done, since nothing reads them afterwards."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def light(df: DataFrame) -> DataFrame:
     """A written table of a few numbers a row: sent to every executor if it is small, else joined as any other."""
     return F.broadcast(df) if df.count() <= SENT_ROWS else df
