@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle.models import CTES
 from oracle.quality import summary_sql
 from oracle.sqltext import assemble, average, pct, ratio
+from tradewind.tables import SOURCE_TABLES
 
 STATEMENTS: dict[str, str] = {}
 
@@ -93,6 +94,25 @@ _add("raw_key_duplicates", " union all ".join(
     f"select '{n}' as table_name, count(*) as rows, count(*) - count(distinct ({k})) as duplicate_rows from src_{n}"
     for n, k in _KEYS.items()))
 
+# Published sizes of the tables.
+_PUBLISHED = {t.name: t.expected_rows for t in SOURCE_TABLES if t.expected_rows}
+
+
+def _rules(n: str) -> str:
+    """Existence, size, repeated keys and the distance from the published size of one loaded table."""
+    rows = f"(select count(*)::double from src_{n})"
+    rules = [("loaded", "1::double", "true"), ("filled", rows, f"{rows} > 0")]
+    if n in _KEYS:
+        repeats = f"(select (count(*) - count(distinct ({_KEYS[n]})))::double from src_{n})"
+        rules.append(("distinct_keys", repeats, f"{repeats} = 0"))
+    if n in _PUBLISHED:
+        share = f"abs({rows} / {_PUBLISHED[n]}::double - 1)"
+        rules.append(("as_published", share, f"{share} <= 0.02"))
+    return " union all ".join(f"select '{n}' as table_name, '{r}' as rule, round({m}, 6) as measured, {p} as passed" for r, m, p in rules)
+
+
+_add("validate_raw", " union all ".join(map(_rules, _SOURCE_NAMES)))
+
 # data quality
 for _layer in ("sources", "staging", "marts", "analytics"):
     _add(f"quality_{_layer}", summary_sql(_layer))
@@ -230,11 +250,10 @@ _add("sentiment_corpus", f"""
 # streaming and incremental
 _add("stream_upsert_users", """
     select * from events
-    qualify row_number() over (partition by user_id order by event_id, ts, event_type, value, props) = 1""")
+    qualify row_number() over (partition by user_id order by ts desc nulls last, event_id desc nulls last, event_type, value, props) = 1""")
 _add("stream_daily_revenue", """
     select date_trunc('day', ts)::timestamp as window_start, sum(value::decimal(18,2)) as revenue, count(*) as purchases
-    from events group by 1
-    having date_trunc('day', ts)::timestamp + interval 1 day <= (select max(ts) - interval 2 day from events)""")
+    from events group by 1""")
 _add("monthly_totals_incremental", """
     select date_trunc('month', order_purchase_date)::date as month_start_date, count(*) as order_count,
            sum(order_total)::decimal(14,2) as revenue, sum(freight_total)::decimal(14,2) as freight_revenue,

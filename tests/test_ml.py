@@ -12,30 +12,6 @@ from tradewind.ml import forecasting, segmentation, sentiment
 
 
 # ------------------------------------------------------------------------------ text
-@pytest.mark.parametrize(
-    ("given", "expected"),
-    [
-        ("não", "nao"),
-        ("péssimo", "pessimo"),
-        ("PRODUTO Otimo", "produto otimo"),
-        ("chegou em 3 dias!!! nota 10", "chegou em dias nota"),
-        ("  muito    bom  ", "muito bom"),
-        ("veja em http://exemplo.com.br agora", "veja em agora"),
-        ("www.loja.com fim", "fim"),
-        ("!!!", ""),
-        ("", ""),
-        ("é Ⅱ ﬁ", "e"),
-    ],
-)
-def test_normalise(spark, given, expected):
-    row = spark.createDataFrame([(given,)], "t string").select(text.normalise(F.col("t"))).first()
-    assert row[0] == expected
-
-
-def test_normalise_numbers(spark):
-    assert spark.range(1).select(text.normalise(F.lit(123))).first()[0] == ""
-
-
 def grams_by_hand(word_text: str, low=3, high=5):
     out = []
     for word in word_text.split():
@@ -67,25 +43,27 @@ def labels(spark, rows):
     return {r.cluster_id: r.cluster_label for r in segmentation.label_clusters(frame).collect()}
 
 
-def test_labels_are_unique(spark):
-    named = labels(spark, [(20, 1.5, 240), (126, 2.7, 717), (209, 2.2, 308), (311, 1.0, 108), (308, 1.0, 329)])
-    assert len(set(named.values())) == 5
+def test_each_cluster_has_a_name_of_its_own(spark):
+    alike = [(50 + i % 2, 1.1, 100 + i) for i in range(7)]
+    assert len(set(labels(spark, alike).values())) == len(alike)
 
 
-def test_recency_and_value_tiers(spark):
-    named = labels(spark, [(10, 1, 900), (200, 1, 400), (400, 1, 50)])
-    assert named == {0: "Active High-Value", 1: "Cooling Mid-Value", 2: "Dormant Low-Value"}
+def test_thirds_of_recency_and_value(spark):
+    named = labels(spark, [(300, 1.2, 80), (90, 1.0, 500), (5, 1.4, 210)])
+    assert named == {0: "Dormant Low-Value", 1: "Cooling High-Value", 2: "Active Mid-Value"}
 
 
-def test_repeaters(spark):
-    named = labels(spark, [(10, 3.2, 900), (400, 1, 50)])
-    assert named[0].endswith("Repeaters") and not named[1].endswith("Repeaters")
+@pytest.mark.parametrize(("orders", "repeats"), [(1.0, False), (1.49, False), (1.5, True), (6.0, True)])
+def test_repeaters_from_the_threshold_on(spark, orders, repeats):
+    named = labels(spark, [(30, orders, 120), (60, 1.0, 60)])
+    assert named[0].endswith("Repeaters") == repeats
 
 
-def test_labels_follow_the_averages_not_the_ids(spark):
-    rows = [(10, 3, 900), (200, 1, 400), (400, 1, 50)]
-    forward, backward = labels(spark, rows), labels(spark, rows[::-1])
-    assert forward == {0: backward[2], 1: backward[1], 2: backward[0]}
+def test_names_follow_the_averages_in_any_order(spark):
+    rows = [(12, 2.0, 75), (140, 1.0, 600), (33, 1.1, 20), (260, 4.0, 310)]
+    turned = rows[2:] + rows[:2]
+    first, second = labels(spark, rows), labels(spark, turned)
+    assert [first[i] for i in range(4)] == [second[(i + 2) % 4] for i in range(4)]
 
 
 def test_cluster_indices_against_brute_force(spark):
@@ -134,12 +112,13 @@ def series(spark, counts, value=1000.0):
 @pytest.mark.parametrize(
     ("counts", "kept"),
     [
-        ([50] * 115 + [1] * 5, 115),
-        ([50] * 120, 120),
-        ([50] * 40 + [1] * 10, 50),
-        ([50] * 100 + [1] * 45, 100),
-        ([50] * 100 + [1] * 60, 160),
-        ([50] * 100 + [1, 50, 1], 102),
+        ([80] * 200 + [19] * 9, 200),  # under a quarter of what is usual
+        ([80] * 200 + [20] * 9, 209),
+        ([30, 60] * 70, 140),
+        ([80] * 30 + [2] * 7, 37),  # too short a series to judge
+        ([80] * 150 + [2] * 45, 150),
+        ([80] * 150 + [2] * 46, 196),  # longer than any tail
+        ([80] * 150 + [2, 70, 2, 2], 152),
     ],
 )
 def test_tail_trim(spark, counts, kept):
@@ -157,12 +136,13 @@ def accuracy(spark, pairs):
 
 
 def test_accuracy(spark):
-    perfect = accuracy(spark, [(100.0, 100.0), (200.0, 200.0)])
-    assert (perfect.mae, perfect.rmse, perfect.mape, perfect.bias) == (0, 0, 0, 0)
-    assert accuracy(spark, [(0.0, 10.0), (100.0, 110.0)]).mape == pytest.approx(10.0)
-    assert math.isnan(accuracy(spark, [(0.0, 10.0)]).mape)
-    assert accuracy(spark, [(100.0, 110.0), (100.0, 120.0)]).bias > 0
-    assert accuracy(spark, [(100.0, 90.0), (100.0, 80.0)]).bias < 0
+    row = accuracy(spark, [(40.0, 50.0), (80.0, 72.0), (0.0, 3.0)])
+    assert row.mae == pytest.approx(7.0) and row.bias == pytest.approx(5 / 3)
+    assert row.rmse == pytest.approx(math.sqrt((100 + 64 + 9) / 3))
+    assert row.mape == pytest.approx((25 + 10) / 2), "a day without sales has no percentage"
+    exact = accuracy(spark, [(3.5, 3.5), (8.0, 8.0)])
+    assert (exact.mae, exact.rmse, exact.mape, exact.bias) == (0, 0, 0, 0)
+    assert math.isnan(accuracy(spark, [(0.0, 4.0)]).mape)
 
 
 def test_seasonal_naive(spark):

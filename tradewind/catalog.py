@@ -100,6 +100,15 @@ def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone.load_status().join(loads, "table_name").drop("last_loaded")
 
 
+@query()
+def validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all nine tables and check them, published sizes included."""
+    zone = RawZone(spark, scratch_path(spark, "zone"))
+    for table in SOURCE_TABLES:
+        zone.load(table.name, market.read(spark, sf_dir, table.name))
+    return zone.validation(strict=True).withColumn("measured", F.round("measured", 6))
+
+
 @query()
 def raw_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, and rows that repeat a key, of each keyed source table."""
@@ -289,16 +298,16 @@ QUERIES["sentiment_corpus"] = _over(
 # ------------------------------------------------------------------------- streaming
 @query()
 def stream_upsert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert the event stream by user."""
+    """Upsert the event stream by user: the latest event of each."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    upserts = jobs.UpsertStream(spark, scratch_path(spark, "upsert"), ["user_id"])
+    upserts = jobs.UpsertStream(spark, scratch_path(spark, "upsert"), ["user_id"], newest=["ts", "event_id"])
     upserts.run(jobs.parquet_stream(spark, sf_dir, schema, "events.parquet"))
     return upserts.current()
 
 
 @query()
 def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event value per day, closed days only."""
+    """Event value per day."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = jobs.parquet_stream(spark, sf_dir, schema, "events.parquet")
     return jobs.run_windowed_revenue(events, scratch_path(spark, "windows"), time="ts", amount="value")

@@ -2,35 +2,47 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
 
-def _accent_table() -> tuple[str, str]:
-    """Letters whose compatibility decomposition is one ASCII character plus combining marks."""
-    source, target = [], []
-    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
-        folded = [
-            ch for ch in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(ch)
-        ]
-        if len(folded) == 1 and folded[0].isascii():
-            source.append(chr(code))
-            target.append(folded[0])
-    return "".join(source), "".join(target)
+def _folds() -> tuple[dict[str, str], dict[str, str], str]:
+    """What compatibility decomposition without combining marks makes of each character, lower-cased and
+    with blanks for all but a to z: single characters, longer strings, and characters that vanish."""
+    single, longer, gone = {}, {}, []
+    for code in (*range(0x20), *range(0x7F, 0xD800), *range(0xE000, sys.maxunicode + 1)):
+        parts = [x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x)]
+        folded = "".join(x if "a" <= x <= "z" else " " for x in "".join(parts).lower())
+        if not parts:
+            gone.append(chr(code))
+        elif len(folded) == 1 and (folded != " " or parts[0].isspace()):
+            single[chr(code)] = folded
+        elif folded.strip():
+            longer[chr(code)] = folded
+    return single, longer, "".join(gone)
 
 
-_ACCENTED, _PLAIN = _accent_table()
-_COMBINING = r"\p{M}+"
+_SINGLE, _LONGER, _GONE = _folds()
+
+
+def _spelt_out(text: Column) -> Column:
+    """Characters that decompose into several letters, such as ligatures and Roman numerals, written out."""
+    table = F.map_from_arrays(F.lit(list(_LONGER)), F.lit(list(_LONGER.values())))
+    any_of = "[" + "".join(f"\\x{{{ord(x):X}}}" for x in _LONGER) + "]"
+    letters = F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x))
+    return F.when(text.rlike(any_of), F.array_join(letters, "")).otherwise(text)
 
 
 def normalise(text: Column) -> Column:
-    """Fold accents and case, then keep only letters and single spaces.
+    """Decompose, drop combining marks, fold case, then keep only letters and single spaces.
 
     Links go first, so that their letters do not survive as words.
     """
-    folded = F.lower(F.translate(F.regexp_replace(text.cast("string"), _COMBINING, ""), _ACCENTED, _PLAIN))
-    no_links = F.regexp_replace(folded, r"http\S+|www\.\S+", " ")
+    source, target = "".join(_SINGLE), "".join(_SINGLE.values())
+    folded = F.lower(_spelt_out(F.translate(text.cast("string"), source + _GONE, target)))
+    no_links = F.regexp_replace(folded, r"(?U)http\S+|www\.\S+", " ")
     letters = F.regexp_replace(no_links, r"[^a-z]+", " ")
     return F.trim(letters)
 

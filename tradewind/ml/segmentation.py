@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -16,6 +18,9 @@ from tradewind.session import materialise
 
 FEATURES = ("recency_days", "frequency", "monetary", "avg_order_value")
 REPEAT_THRESHOLD = 1.5
+# Random starts for each number of clusters, and rounds at most in one fit.
+STARTS = 10
+MAX_ITERATIONS = 300
 
 # Names of the thirds of the recency and the value ordering.
 RECENCY_TIERS = ("Active", "Cooling", "Dormant")
@@ -44,8 +49,10 @@ class Candidate:
 
 
 def best_fit(points: DataFrame, k: int, seed: int, starts: int) -> KMeansModel:
-    """The lowest-cost model of several random starts."""
-    fits = [KMeans(k=k, seed=seed + start, maxIter=100, tol=1e-4).fit(points) for start in range(starts)]
+    """The lowest-cost model of several random starts, fitted side by side."""
+    fit = lambda start: KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, tol=1e-4).fit(points)
+    with ThreadPool(min(starts, 4)) as pool:
+        fits = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(starts))
     return min(fits, key=lambda fit: fit.summary.trainingCost)
 
 
@@ -170,7 +177,7 @@ def label_clusters(profiles: DataFrame) -> DataFrame:
     ).drop("_count", "_recency", "_value", "_name")
 
 
-def run(agg_customer_rfm: DataFrame, k_min: int = 3, k_max: int = 8, seed: int = 42, starts: int = 3) -> ModelRun:
+def run(agg_customer_rfm: DataFrame, k_min: int = 3, k_max: int = 8, seed: int = 42, starts: int = STARTS) -> ModelRun:
     """Choose k by silhouette, cluster, profile and name the clusters."""
     spark = agg_customer_rfm.sparkSession
     points = features(agg_customer_rfm)

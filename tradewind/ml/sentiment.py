@@ -32,6 +32,7 @@ MIN_TRAINING_ROWS = 500
 SUSPICIOUS_AUC = 0.995
 MAX_FEATURES, MIN_DOCUMENTS = 40_000, 3
 INVERSE_PENALTY = 4.0
+MAX_ITERATIONS = 2_000
 POSITIVE_FROM, NEGATIVE_TO = 0.6, 0.4
 
 
@@ -145,7 +146,7 @@ def fit_classifier(featured: DataFrame) -> LogisticRegressionModel:
         regParam=1.0 / (INVERSE_PENALTY * rows),
         elasticNetParam=0.0,
         standardization=False,
-        maxIter=200,
+        maxIter=MAX_ITERATIONS,
     ).fit(table)
 
 
@@ -227,9 +228,8 @@ def run(
     min_rows: int = MIN_TRAINING_ROWS,
 ) -> ModelRun:
     spark = fact_orders.sparkSession
-    # N-grams blow text up about twelvefold, so the corpus is spread over all cores first.
-    spread = corpus(stg_order_reviews, fact_orders).repartition(spark.sparkContext.defaultParallelism, "order_id")
-    reviews = materialise(spread, "corpus")
+    # N-grams blow text up about twelvefold; Spark chooses partitions by the size of the text.
+    reviews = materialise(corpus(stg_order_reviews, fact_orders).hint("rebalance"), "corpus")
     size = weak_labels(reviews).agg(F.count("*"), F.avg("label")).first()
     if size[0] < min_rows:
         raise RuntimeError(f"only {size[0]} labelled reviews, training needs at least {min_rows}")
@@ -239,8 +239,10 @@ def run(
     training = weak_labels(counted).filter(~held_out)
     idf = {name: smoothed_idf(training, name) for name in BLOCKS}
     classifier = fit_classifier(weigh(training, idf))
+    # Each transformer writes its own table, so that no stage carries more than one model.
+    featured = materialise(weigh(counted, idf), "featured")
     scored = materialise(
-        classifier.transform(weigh(counted, idf))
+        classifier.transform(featured)
         .withColumn("sentiment_probability", vector_to_array("probability")[1])
         .drop("clean_text", "features", "probability", *BLOCKS),
         "scored",

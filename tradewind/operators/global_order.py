@@ -1,8 +1,8 @@
 """Exact ntile and rank over a whole frame without sorting it in one task.
 
-A window without partition keys moves every row to one task. That is fine for a few rows, so the
-functions here count first and use the plain window up to ``row_limit``. Beyond it they sort into
-ranges, write the sorted frame once, and turn per-range counts into global positions.
+A window without partition keys moves every row to one task. The functions here sort into ranges
+instead, write the sorted frame once, and turn per-range counts into global positions. NULL values
+come last.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.session import materialise
 
-ROW_LIMIT = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
 
 
@@ -51,57 +50,44 @@ def bucket_starts(rows: int, buckets: int) -> list[int]:
 
 def _cut_rows(df: DataFrame, value: str, key: str, rows: int, buckets: int) -> list:
     """The rows that open buckets 2, 3, ...: at most ``buckets - 1`` rows reach the driver."""
-    ranges = _sorted_ranges(df.select(value, key), F.col(value).asc(), F.col(key).asc())
+    ranges = _sorted_ranges(df.select(value, key), F.col(value).asc_nulls_last(), F.col(key).asc())
     offsets = _range_offsets(ranges, F.count("*"))
     position = F.col("_offset") + F.col("_row")
     return (
         ranges.join(F.broadcast(offsets), "_range")
         .filter(position.isin(bucket_starts(rows, buckets)))
-        .orderBy(value, key)
+        .orderBy(F.col(value).asc_nulls_last(), key)
         .select(value, key)
         .collect()
     )
 
 
-def with_ntile(
-    df: DataFrame,
-    columns: dict[str, str],
-    key: str,
-    rows: int,
-    buckets: int = 5,
-    row_limit: int = ROW_LIMIT,
-) -> DataFrame:
+def with_ntile(df: DataFrame, columns: dict[str, str], key: str, rows: int, buckets: int = 5) -> DataFrame:
     """Add ``ntile(buckets)`` over (value, key) for each ``{new column: value column}``.
 
     ``key`` must be unique, ``df`` cheap to read repeatedly (a written table) and ``rows`` its
-    size. Past ``row_limit`` the score is a comparison with the few rows that open each bucket,
-    so no second shuffle of the frame is needed.
+    size. The score is a comparison with the few rows that open each bucket, so no second shuffle
+    of the frame is needed.
     """
-    if rows <= row_limit:
-        windows = {
-            new: F.ntile(buckets).over(Window.orderBy(F.col(value).asc(), F.col(key).asc()))
-            for new, value in columns.items()
-        }
-        return df.withColumns(windows)
+
+    def reached(value: str, cut) -> Column:  # noqa: ANN001
+        own = F.col(value)
+        if cut[0] is None:
+            return own.isNull() & (F.col(key) >= F.lit(cut[1]))
+        return own.isNull() | (own > F.lit(cut[0])) | ((own == F.lit(cut[0])) & (F.col(key) >= F.lit(cut[1])))
 
     def score(value: str) -> Column:
-        reached = [
-            (F.col(value) > F.lit(cut[0])) | ((F.col(value) == F.lit(cut[0])) & (F.col(key) >= F.lit(cut[1])))
-            for cut in _cut_rows(df, value, key, rows, buckets)
-        ]
-        return reduce(lambda total, flag: total + flag.cast("int"), reached, F.lit(1))
+        passed = [reached(value, cut).cast("int") for cut in _cut_rows(df, value, key, rows, buckets)]
+        return reduce(lambda total, flag: total + flag, passed, F.lit(1))
 
     return df.withColumns({new: score(value) for new, value in columns.items()})
 
 
-def with_rank_desc(df: DataFrame, value: str, new: str, rows: int, row_limit: int = ROW_LIMIT) -> DataFrame:
-    """Add ``rank() over (order by value desc)``; ties share the lower number.
+def with_rank_desc(df: DataFrame, value: str, new: str) -> DataFrame:
+    """Add ``rank() over (order by value desc nulls last)``; ties share the lower number.
 
-    Past ``row_limit`` equal values collapse to one row before they are ordered, however many
-    rows share them.
+    Equal values collapse to one row before they are ordered, however many rows share them.
     """
-    if rows <= row_limit:
-        return df.withColumn(new, F.rank().over(Window.orderBy(F.col(value).desc())))
     tallies = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_tied"))
     ranges = _sorted_ranges(tallies, F.col(value).desc())
     before = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,7 +23,7 @@ from tradewind.functions.rules import (
     share_true,
     year_month,
 )
-from tradewind.operators.global_order import ROW_LIMIT, with_ntile, with_rank_desc
+from tradewind.operators.global_order import with_ntile, with_rank_desc
 from tradewind.session import materialise
 
 
@@ -211,7 +211,6 @@ def agg_seller_performance(
     fact_order_items: DataFrame,
     dim_sellers: DataFrame,
     fact_orders: DataFrame,
-    row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Seller league table.
 
@@ -256,8 +255,8 @@ def agg_seller_performance(
     ranges = items.groupBy("seller_key").agg(F.countDistinct("product_key").alias("distinct_products"))
     shops = dim_sellers.select("seller_key", "seller_id", "seller_city", "seller_state", "seller_region")
     league = materialise(trade.join(ranges, "seller_key").join(shops, "seller_key"), "sellers")
-    size = league.agg(F.count("*").alias("n"), F.sum("revenue").alias("total")).first()
-    ranked = with_rank_desc(league, "revenue", "revenue_rank", size["n"], row_limit)
+    total = league.agg(F.sum("revenue")).first()[0]
+    ranked = with_rank_desc(league, "revenue", "revenue_rank")
     return ranked.select(
         "seller_key",
         "seller_id",
@@ -278,7 +277,7 @@ def agg_seller_performance(
         "first_sale_date",
         "last_sale_date",
         F.datediff("last_sale_date", "first_sale_date").alias("active_days"),
-        percent(c("revenue"), F.lit(size["total"]), 3).alias("revenue_share_pct"),
+        percent(c("revenue"), F.lit(total), 3).alias("revenue_share_pct"),
         "revenue_rank",
         ((c("order_count") >= 20) & (c("late_delivery_pct") > 15)).alias("is_at_risk_seller"),
     ).orderBy(c("revenue").desc())
@@ -401,7 +400,7 @@ def rfm_segment(recency, frequency, monetary):
     return F.coalesce(*[F.when(rule, F.lit(name)) for rule, name in rules], F.lit("Lost"))
 
 
-def agg_customer_rfm(fact_orders: DataFrame, dim_customers: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame:
+def agg_customer_rfm(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Recency, frequency and monetary scores per customer against the last billed day.
 
     The per-customer figures are written once; quintiles, the reference day and the scores all
@@ -430,7 +429,6 @@ def agg_customer_rfm(fact_orders: DataFrame, dim_customers: DataFrame, row_limit
         {"_recency_band": "recency_days", "monetary_score": "monetary"},
         "customer_key",
         facts["n"],
-        row_limit=row_limit,
     )
     recency, frequency, monetary = c("recency_score"), c("frequency_score"), c("monetary_score")
     scored = ranked.withColumns(

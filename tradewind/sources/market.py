@@ -67,8 +67,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three points per person; some prefixes stay unmapped and some points lie abroad."""
-    people = _table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 30 != 0)
+    """Three points per person; some have no prefix, so it stays unmapped, and some points lie abroad."""
+    people = _table(spark, sf_dir, "customer")
     zip_number = F.col("c_nationkey") * 4000 + F.col("c_custkey") % 400
     points = people.select(
         "c_custkey",
@@ -81,7 +81,7 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     latitude = (z % 1000 * 3000 + j * 100 + k % 7 - 3_000_000).cast("double") / F.lit(100_000.0)
     longitude = (z % 800 * 4000 + j * 70 - 7_000_000).cast("double") / F.lit(100_000.0)
     return points.select(
-        z.cast("string").alias("geolocation_zip_code_prefix"),
+        F.when(k % 30 != 0, z.cast("string")).alias("geolocation_zip_code_prefix"),
         F.when(abroad, F.lit(45.0)).otherwise(latitude).alias("geolocation_lat"),
         longitude.alias("geolocation_lng"),
         F.concat(F.when(j < 2, F.lit("Cidade ")).otherwise(F.lit("Vila ")), (z % 97).cast("string")).alias(
@@ -131,10 +131,9 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequence = F.when(k % 33 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         _table(spark, sf_dir, "orders")
-        .filter(k % 701 != 0)
         .select("o_orderkey", "o_totalprice", "o_orderpriority", F.explode(sequence).alias("payment_sequential"))
         .select(
-            _key("o", "o_orderkey").alias("order_id"),
+            F.when(k % 701 != 0, _key("o", "o_orderkey")).otherwise(_key("lost", "o_orderkey")).alias("order_id"),
             "payment_sequential",
             F.when(empty, F.lit("not_defined"))
             .when(seq == 2, F.lit("voucher"))
@@ -203,7 +202,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews for eight orders in nine, some twice. Every fifteenth order quotes one document:
+    """A review for each order, some twice; one in nine names an unknown order. Every fifteenth order quotes one document:
     the stars follow the document's quality label, or else, four times in five, its language.
     """
     k = F.col("o_orderkey")
@@ -211,7 +210,6 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), "quality")
     base = (
         _order_events(spark, sf_dir)
-        .filter(k % 9 != 4)
         .withColumn("doc_key", F.when(k % 15 == 0, F.floor(k / 15).cast("long")))
         .join(documents, F.col("doc_key") == F.col("doc_id"), "left")
         .join(labels, F.col("doc_key") == F.col("label_id"), "left")
@@ -232,7 +230,7 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     wait = k * 29 % (3 * DAY) + F.when((copy == 2) & (k % 250 != 0), 3600).otherwise(0)
     return base.select(
         F.concat(_key("r", shared), F.when(copy == 2, F.lit("-b")).otherwise(F.lit(""))).alias("review_id"),
-        _key("o", "o_orderkey").alias("order_id"),
+        F.when(k % 9 != 4, _key("o", "o_orderkey")).otherwise(_key("lost", "o_orderkey")).alias("order_id"),
         stars.cast("int").alias("review_score"),
         F.when(k % 20 == 0, F.concat(F.lit(" Avaliacao "), (k % 7).cast("string"))).alias("review_comment_title"),
         F.when(copy == 1, F.when(k % 15 == 1, F.lit("   ")).otherwise(F.col("text"))).alias(
@@ -271,16 +269,15 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One entry per category in use, except those of one brand."""
+    """One entry per category in use; those of one brand have no translation."""
     kind, brand = F.lower(F.col("p_type")), F.replace(F.col("p_brand"), F.lit("#"), F.lit("_"))
     return (
         _table(spark, sf_dir, "part")
-        .filter(F.col("p_brand") != "Brand#13")
         .select("p_type", "p_brand")
         .distinct()
         .select(
             F.concat(kind, F.lit("_"), brand, F.lit(" ")).alias("product_category_name"),
-            F.concat(F.lit("English "), kind, F.lit(" "), brand).alias("product_category_name_english"),
+            F.when(brand != "Brand_13", F.concat(F.lit("English "), kind, F.lit(" "), brand)).alias("product_category_name_english"),
         )
     )
 
