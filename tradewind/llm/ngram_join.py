@@ -7,8 +7,8 @@ first ``n - ceil(3n/4) + 1`` tokens of both under any fixed order of all tokens.
 1. one pass gives each document its set's size and fingerprint; equal sets are one node from then
    on. It also counts tokens, and the commonest ones go last in the first order;
 2. prefix tokens under the first order are dealt out by token; tokens of one node drop out;
-3. in a few rounds each node is compared with leaders of the tokens it shares that are not in its
-   component yet, which joins up large groups of near copies at a cost that follows their size;
+3. each node is compared with two leaders of each token it shares, which joins up large groups of
+   near copies at a cost that follows their size;
 4. every pair that shares a token and is not yet in one component is compared as well, so no link
    between components is lost.
 
@@ -37,9 +37,6 @@ WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
 # compared, not what is found.
 COMMON = 100_000
-# Rounds in which near copies are compared with leaders before every pair left is, and leaders in each.
-ROUNDS = 2
-LEADERS = 3
 NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
@@ -228,20 +225,21 @@ def _nodes(pairs: DataFrame) -> DataFrame:
 def _rooted(lists: DataFrame, links: DataFrame) -> DataFrame:
     """With ``root``, the component that the links found so far put each node into."""
     roots = light(stored(components(links), "roots"))
-    return lists.join(roots, "node", "left").select("token", "node", "place", F.coalesce("root", "node").alias("root"))
+    return lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _stars(rooted: DataFrame, tried: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """All pairs tried by now, and those new: nodes of a token with three other leaders of it, if not in one component."""
+def _stars(lists: DataFrame) -> DataFrame:
+    """Pairs of a token's nodes with two leaders of it.
+
+    One is the node most of whose prefix others share: an original among copies, which have words of
+    their own. The other is chosen by hash, one for odd tokens and one for even."""
     alike = Window.partitionBy("token")
-    led = rooted.withColumns({
-        f"lead{i}": F.min(F.struct(F.xxhash64("node", F.lit(salt * LEADERS + i)), "node", "place", "root")).over(alike) for i in range(LEADERS)
-    })
-    led = led.select("node", "place", "root", F.explode(F.array(*[F.col(f"lead{i}") for i in range(LEADERS)])).alias("lead"))
-    led = led.select("node", "place", "root", F.col("lead.node").alias("other"), F.col("lead.place").alias("other_place"), F.col("lead.root").alias("other_root"))
-    pairs = led.where((F.col("root") != F.col("other_root")) & _possible("place", "other_place")).select(*_pair("node", "other")).distinct()
-    new = stored(pairs.join(light(tried), ["a", "b"], "left_anti"), "pairs")
-    return tried.union(new), new
+    orders = (F.struct(-F.col("common"), F.xxhash64("node")), F.struct(F.lit(0.0), F.xxhash64("node", F.col("token").bitwiseAND(F.lit(1)))))
+    leads = [F.min(F.struct(o.alias("o"), "node", "place")).over(alike) for o in orders]
+    led = lists.withColumns({"original": leads[0], "other": leads[1]}).select("node", "place", F.explode(F.array("original", "other")).alias("lead"))
+    led = led.select("node", "place", F.col("lead.node").alias("other"), F.col("lead.place").alias("other_place"))
+    pairs = led.where((F.col("node") != F.col("other")) & _possible("place", "other_place"))
+    return stored(pairs.select(*_pair("node", "other")).distinct(), "pairs")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str | None = None) -> DataFrame:
@@ -256,26 +254,22 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     common = np.sort(np.array([r["node"] for r in often.select("node").collect()], dtype=np.int64).view(np.uint64))
 
     alike = Window.partitionBy("token")
-    leader = F.min(F.struct(F.xxhash64("node", F.col("token").bitwiseAND(F.lit(1))), F.col("node"), F.col("place"))).over(alike)
-    held = _prefixes(docs, common).withColumns({"low": F.min("node").over(alike), "leader": leader, "high": F.max("node").over(alike)})
-    lists = stored(held.where("low < high").select("token", "node", "place", F.col("leader.node").alias("lead"), F.col("leader.place").alias("lead_place")), "lists")
+    held = _prefixes(docs, common).withColumns({"low": F.min("node").over(alike), "high": F.max("node").over(alike)})
+    lists = stored(held.where("low < high").select("token", "node", "place"), "lists")
+    size = F.shiftright("place", 32)
+    weights = lists.groupBy("node").agg((F.count(F.lit(1)) / F.max(size - F.floor((3 * size + 3) / 4) + 1)).alias("common"))
+    lists = lists.join(light(stored(weights, "weights")), "node")
 
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = nodes.withColumnRenamed("doc_id", "id")
-    starred = lists.where((F.col("lead") != F.col("node")) & _possible("place", "lead_place")).select(*_pair("lead", "node")).distinct()
-    starred = stored(starred, "pairs")
-    sets = _sets(docs, _nodes(starred).join(ids, "node"))
-    links = _linked(starred, sets)
-    known = light(stored(sets.select("node").distinct(), "wanted"))
-    near = stored(lists.select("token", "node", "place").join(known, "node", "left_semi"), "lists")
-    for salt in range(1, ROUNDS + 1):
-        starred, again = _stars(_rooted(near, links), starred, salt)
-        links = stored(links.union(_linked(again, sets)), "links")
-
-    x = _rooted(lists.select("token", "node", "place"), links)
+    tried = _stars(lists)
+    sets = _sets(docs, _nodes(tried).join(ids, "node"))
+    links = _linked(tried, sets)
+
+    x = _rooted(lists, links).select("token", "node", "place", "root")
     y = x.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "place", "root")])
     rest = x.join(y, "token").where((F.col("root") < F.col("other_root")) & _possible("place", "other_place"))
-    rest = stored(rest.select(*_pair("node", "other_node")).distinct().join(light(starred), ["a", "b"], "left_anti"), "pairs")
+    rest = stored(rest.select(*_pair("node", "other_node")).distinct().join(light(tried), ["a", "b"], "left_anti"), "pairs")
     more = _nodes(rest).join(sets.select("node"), "node", "left_anti")
     roots = components(links.union(_linked(rest, sets.union(_sets(docs, more.join(ids, "node"))))))
 
