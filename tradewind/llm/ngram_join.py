@@ -36,7 +36,9 @@ from tradewind.llm.text import Words, light, slices, stored, strings
 WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
 # compared, not what is found.
-COMMON = 100_000
+COMMON = 1_000_000
+# Sets that a comparing task holds, and pairs for it, about.
+HUBS, PAIRS = 1024, 20_000
 NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
@@ -91,7 +93,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Counts of rare tokens are thinned out whenever many are held, so memory stays bounded."""
     held = pd.Series(dtype=np.int64)
     rows = 0
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", 16_000_000):
         sets = Sets(strings(batch.column("text")))
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n": sets.sizes, "node": sets.prints})
         rows += batch.num_rows
@@ -100,7 +102,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = held.add(pd.Series(counts[several], tokens[several].view(np.int64)), fill_value=0)
         if len(held) > 1_000_000:
             held = held[held > max(2, rows // 10_000)]
-    held = held[held >= 4].nlargest(COMMON, keep="all").astype(np.int64)
+    held = held[held >= 2].nlargest(COMMON, keep="all").astype(np.int64)
     if len(held):
         none = pa.nulls(len(held), batch.schema.field("doc_id").type)
         yield pa.RecordBatch.from_pydict({"doc_id": none, "row": pa.nulls(len(held), pa.int64()), "n": -held.to_numpy(), "node": held.index.to_numpy().astype(np.int64)})
@@ -150,76 +152,98 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """For nodes wanted (``node``, ``id`` of one row that has it): all tokens, and the first four bytes of
-    those in the prefixes under the further orders. A node whose id repeats may come more than once."""
+    """``node`` and the bytes of its ``tokens`` for nodes wanted (``node``, ``id`` of one row that has it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text"):
             sets = Sets(strings(batch.column("text")))
-            out: dict[str, list] = {"node": [], "second": [], "third": [], "tokens": []}
-            sizes = prefix(sets.sizes)
+            found = []
             for i in np.flatnonzero(sets.prints == batch.column("node").to_numpy()):
-                if (node := int(sets.prints[i])) in seen:
-                    continue
-                seen.add(node)
-                own = sets.of(i)
-                out["node"].append(node)
-                out["tokens"].append(own.tobytes())
-                for name, salt in zip(("second", "third"), SALTS, strict=True):
-                    firsts = np.partition(mixed(own ^ np.uint64(salt)), sizes[i] - 1)[: sizes[i]]
-                    out[name].append(np.unique(firsts & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
-            types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(out.items(), types, strict=True)})
+                if (node := int(sets.prints[i])) not in seen:
+                    seen.add(node)
+                    found.append(i)
+            yield pa.RecordBatch.from_pydict({"node": sets.prints[found], "tokens": pa.array([sets.of(i).tobytes() for i in found], pa.binary())})
 
     wanted = light(stored(wanted, "wanted"))
     found = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node")
-    return stored(found.mapInArrow(run, "node long, second binary, third binary, tokens binary"), "sets")
-
-
-def _shared(a: pa.Array, b: pa.Array, kind: type) -> np.ndarray:
-    """Sizes of the intersections of sets of numbers, row by row."""
-    out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        both = np.concatenate([np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)])
-        both.sort(kind="stable")
-        out[i] = np.count_nonzero(both[1:] == both[:-1])
-    return out
+    return stored(found.mapInArrow(run, "node long, tokens binary"), "sets")
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _orders(block: bytes) -> list[np.ndarray]:
+    """A set's tokens, and those in its prefixes under the further orders."""
+    own = np.frombuffer(block, np.uint64)
+    size = int(prefix(np.int64(len(own))))
+    return [own, *(np.partition(mixed(own ^ np.uint64(salt)), size - 1)[:size] for salt in SALTS)]
+
+
+def _similar(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
+    """Prefixes under every further order share a token, and the sets are similar."""
+    if not all(_common(x, y) for x, y in zip(a[1:], b[1:], strict=True)):
+        return False
+    both = _common(a[0], b[0])
+    return 100 * both >= 75 * (len(a[0]) + len(b[0]) - both)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links among rows sorted by place: the sets of its hubs first, which are held, then for each other
+    node a row of its partners among them and a row of its set."""
+    place, hubs, partners = None, {}, []
+    for batch in batches:
+        found: dict[str, list] = {"a": [], "b": []}
+        for block, part, kind, node, listed, tokens in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "kind", "node", "partners", "tokens")), strict=True):
+            if (block, part) != place:
+                place, hubs = (block, part), {}
+            if kind == 0:
+                hubs[node] = _orders(tokens)
+            elif listed is not None:
+                partners = listed
+            else:
+                own = _orders(tokens)
+                near = [hub for hub in partners if _similar(hubs[hub], own)]
+                found["a"] += [min(hub, node) for hub in near]
+                found["b"] += [max(hub, node) for hub in near]
+        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are similar: prefixes under the further orders first, whole sets of those left after."""
-
-    def beside(pairs: DataFrame, *names: str) -> DataFrame:
-        """Small tables of pairs and nodes are sent to the sets, which then shuffle once, and only those needed."""
-        needed = light(stored(_nodes(pairs), "wanted"))
-        own_sets = sets.select("node", *names).join(needed, "node", "left_semi")
-        pairs = light(pairs)
-        for side in ("a", "b"):
-            own = own_sets.select(F.col("node").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names])
-            pairs = pairs.join(own, side)
-        return pairs
-
-    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = np.ones(batch.num_rows, bool)
-            for name in ("second", "third"):
-                near &= _shared(batch.column(f"{name}_a"), batch.column(f"{name}_b"), np.uint32) > 0
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common = _shared(batch.column("tokens_a"), batch.column("tokens_b"), np.uint64)
-            sizes = [np.array([x.as_buffer().size // 8 for x in batch.column(f"tokens_{s}")], np.int64) for s in "ab"]
-            near = 100 * common >= 75 * (sizes[0] + sizes[1] - common)
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    likely = stored(beside(pairs, "second", "third").mapInArrow(share, "a long, b long"), "likely")
-    return stored(beside(likely, "tokens").mapInArrow(verify, "a long, b long"), "links")
-
-
-def _nodes(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    """The pairs that are similar.
+
+    Of each pair the node with more pairs is the hub. Hubs are dealt into blocks of about ``HUBS``,
+    which tasks hold; every other node goes once to each block that has partners of it. A block with
+    many pairs is held by several tasks, which share the other nodes out."""
+    degrees = _nodes(pairs, distinct=False).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    degrees = light(stored(degrees, "degrees"))
+    for side in ("a", "b"):
+        pairs = pairs.join(degrees.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
+    first = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    pairs = pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("node"))
+    pairs = stored(pairs, "pairs")
+    size = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("hub").alias("hubs")).first()
+    blocks = max(1, -(-size["hubs"] // HUBS))
+    parts = max(1, -(-size["pairs"] // (blocks * PAIRS)))
+    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("hub"), F.lit(blocks)))
+    hubs = light(stored(pairs.select("block", F.col("hub").alias("node")).distinct(), "hubs"))
+    others = light(stored(pairs.select("block", "node").distinct(), "others"))
+    none, whole = F.lit(None).cast("array<long>").alias("partners"), F.lit(None).cast("binary").alias("tokens")
+    part = F.pmod(F.xxhash64("node"), F.lit(parts)).cast("long").alias("part")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part")
+    held = sets.join(hubs, "node").select("block", every, F.lit(0).alias("kind"), "node", none, "tokens")
+    sent = sets.join(others, "node").select("block", part, F.lit(1).alias("kind"), "node", none, "tokens")
+    lists = pairs.groupBy("block", "node").agg(F.collect_list("hub").alias("partners")).select("block", part, F.lit(1).alias("kind"), "node", "partners", whole)
+    placed = held.union(sent).union(lists).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "node", F.col("partners").isNull())
+    return stored(placed.mapInArrow(_compared, "a long, b long"), "links")
+
+
+def _nodes(pairs: DataFrame, distinct: bool = True) -> DataFrame:
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    return nodes.distinct() if distinct else nodes
 
 
 def _rooted(lists: DataFrame, links: DataFrame) -> DataFrame:
