@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import inspect
+from collections import Counter
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -103,13 +104,17 @@ class Warehouse:
 
     def build(self, tables: str, names: Iterable[str] | None = None) -> Warehouse:
         """Write models as tables (the star schema by default), in dependency order, independent
-        ones side by side.
+        ones side by side. A model outside ``names`` that several of them are derived from is
+        written first, so that its joins and shuffles run once.
 
         Facts are laid out by order month. The rebalance hint lets adaptive execution split a
         crowded month over several files and merge thin ones.
         """
         chosen = set(names) if names is not None else {m.__name__ for m in LAYERS["marts"]}
         built = Warehouse(self.spark, self._source, tables)
+        needed = chosen.union(*(built._upstream(name) for name in chosen))
+        uses = Counter(i for name in needed for i in inputs_of(name))
+        chosen |= {name for name in needed if uses[name] > 1}
         waiting = [name for name in MODELS if name in chosen]
         with ThreadPoolExecutor(BUILD_THREADS) as pool:
             while waiting:
