@@ -36,7 +36,7 @@ from tradewind.llm.text import Words, light, slices, stored, strings
 WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
 # compared, not what is found.
-COMMON = 1_000_000
+COMMON = 400_000
 # Sets that a comparing task holds, and pairs for it, about.
 HUBS, PAIRS = 1024, 20_000
 NUMBER = "__row_of_ngram_join"
@@ -274,8 +274,15 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     kind = docs.schema["doc_id"].dataType.simpleString()
     facts = stored(docs.mapInArrow(_facts, f"doc_id {kind}, row long, n long, node long"), "facts")
     rows = facts.where("n >= 0")
-    often = facts.where("n < 0").groupBy("node").agg(F.sum("n").alias("n")).orderBy("n", "node").limit(COMMON)
-    common = np.sort(np.array([r["node"] for r in often.select("node").collect()], dtype=np.int64).view(np.uint64))
+    often = stored(facts.where("n < 0").groupBy("node").agg((-F.sum("n")).alias("n")), "often")
+    # How many tokens there are of each count, counts above a thousand together: few rows.
+    per_count = often.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("tokens")).collect()
+    least, kept = 1001, 0
+    for n, tokens in sorted(((r["n"], r["tokens"]) for r in per_count), reverse=True):
+        if kept + tokens > COMMON:
+            break
+        least, kept = n, kept + tokens
+    common = np.sort(often.where(F.col("n") >= least).select("node").toArrow().column("node").to_numpy().view(np.uint64))
 
     alike = Window.partitionBy("token")
     held = _prefixes(docs, common).withColumns({"low": F.min("node").over(alike), "high": F.max("node").over(alike)})

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT = 1_000_000
+KEPT = 400_000
+AT_ONCE = 20_000
 LONGEST = 64
 CUT = re.compile(r"(?<=\S)(?= \S)")
 # A space at an end of the text or beside other white space.
@@ -46,9 +47,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids one text after another, and how many each has."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        counts = np.array([len(x) for x in found], np.int64)
-        return np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum())), counts
+        ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for start in range(0, len(texts), AT_ONCE):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[start : start + AT_ONCE], add_special_tokens=False)]
+            counts.append(np.array([len(x) for x in found], np.int64))
+            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def distinct(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids known now, and start and number of those of each string (distinct strings)."""
