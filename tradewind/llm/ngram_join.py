@@ -38,7 +38,7 @@ WIDTH = 5
 # compared, not what is found.
 COMMON = 400_000
 # Sets that a comparing task holds, and pairs for it, about.
-HUBS, PAIRS = 1024, 20_000
+HUBS, PAIRS = 2048, 100_000
 NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
