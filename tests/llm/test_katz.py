@@ -106,3 +106,55 @@ def test_blocks():
     for values in (np.array([], np.int64), np.array([5, 7, 2**40], np.int64), np.array([1, 2**64 - 1], np.uint64), np.array([0.5, -1.0])):
         assert np.array_equal(katz.unpack(katz.pack(values)), values)
         assert np.array_equal(katz.unpack(katz.pack(values, True), True), values)
+
+
+def test_rare_words_keep_their_pairs(spark):
+    """More words than any fixed table: each keeps what followed it."""
+    rows = [(i, " ".join(f"w{i}x{j} w{i}y{j}" for j in range(2_000))) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in katz.score_texts(frame).collect()}
+    found, _ = brute(rows, math.inf)
+    for key, _, n, known, total, base, score in found:
+        r = got[key]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+        assert np.allclose([r["base_score"], r["score"]], [base, score], rtol=1e-9)
+
+
+def test_hash_is_that_of_spark(spark):
+    a, b = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, (2, 50))
+    frame = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b, strict=True)], "a long, b long")
+    assert [r[0] for r in frame.selectExpr("xxhash64(a, b)").collect()] == katz.mixed(a, b).tolist()
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_higher_orders(spark, order):
+    """Against the recursive definition, which sums to 1 over all words after any context."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("a b c d e f g".split()) for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2), "a unseen b")]
+    texts = [[*t.split(), END] for _, t in rows]
+    train = [t for (k, _), t in zip(rows, texts, strict=True) if zlib.crc32(str(k).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    shares = sum(count.values()) + len(count) + 1
+    padded = lambda t: ["start"] * (order - 1) + t
+    grams = {k: Counter(tuple(padded(t)[i - k + 1 : i + 1]) for t in train for i in range(order - 1, len(padded(t)))) for k in range(2, order + 1)}
+    factors = {k: katz.discounts(Counter(g.values())) for k, g in grams.items()}
+
+    @cache
+    def p(h, w):
+        if not h:
+            return (count[w] + 1) / shares
+        own = {g[-1]: n for g, n in grams[len(h) + 1].items() if g[:-1] == h}
+        held = sum(own.values())
+        if not own:
+            return p(h[1:], w)
+        share = {c: (factors[len(h) + 1][n] if n <= katz.DISCOUNTED else 1) * n / held for c, n in own.items()}
+        left, free = 1 - sum(share.values()), 1 - sum(p(h[1:], c) for c in own)
+        if left <= 1e-9:
+            share, left = {c: s * held / (held + 1) for c, s in share.items()}, 1 / (held + 1)
+        return share[w] if w in own else left / free * p(h[1:], w)
+
+    got = {r["doc_id"]: r["score"] for r in katz.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), order=order).collect()}
+    for (key, _), t in zip(rows, texts, strict=True):
+        wanted = sum(math.log10(p(tuple(padded(t)[i : i + order - 1]), w)) for i, w in enumerate(t))
+        assert math.isclose(got[key], wanted, rel_tol=1e-9), key
+    assert math.isclose(sum(p(("a", "b", "c")[: order - 1], w) for w in [*count, "nowhere"]), 1)

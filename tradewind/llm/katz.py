@@ -1,21 +1,25 @@
-"""A Katz backoff bigram model: Good-Turing discounts, exactly normalised backoff weights.
+"""A Katz backoff model of any order: Good-Turing discounts, exactly normalised backoff weights.
 
-Tokens are lower-cased words and one end per text. The commonest training words, at most
-``VOCABULARY`` of them, are classes of their own; all other words share one class, in which each has
-its add-one share (one share for all unseen words together). With r the count of class c after h,
+Tokens are lower-cased words and one end per text. Every training word is a class of its own; words
+not seen in training share one more class. With r the count of class c after h, a context of up to
+``order`` - 1 tokens, and h' the context without its first token,
 
     P(c | h) = discount(r) * r / count(h)     if r > 0
-    P(c | h) = backoff(h) * P(c)              otherwise
-
-where P(c) is the add-one share of the class, discounts for r up to ``DISCOUNTED`` follow Good and
-Turing, and backoff(h) gives what the discounts left to the classes never seen after h. A context
-whose counts are all too high to be discounted sets one count aside; one that was followed by every
-class is scaled to sum to 1. So probabilities after any context sum to 1 over all words.
-
-All tables are partitioned by a hash of their key. A map task counts a slice of texts and sends each
-bucket one block of sorted keys, so rows shuffled follow the text, not the number of words in one
-key; a frequent pair costs one entry a slice. Words are known by 64-bit hashes. What every task
-holds is bounded by the vocabulary: counts, backoff weights and hashes of its words.
+    P(c | h) = backoff(h) * P(c | h')         otherwise
+
+where P(c) without a context is the add-one share of the class, discounts for r up to ``DISCOUNTED``
+follow Good and Turing for each order, and backoff(h) gives what the discounts left to the classes
+never seen after h. A context whose counts are all too high to be discounted sets one count aside;
+one that was followed by every class is scaled to sum to 1. So probabilities after any context sum
+to 1 over all words. A ``vocabulary`` may be given to keep only the commonest words as classes, in
+whole count levels; all others then share the last class, each with its add-one share in it.
+
+Words and n-grams are known by 64-bit hashes, an n-gram by the hash of its context and of its last
+n - 1 tokens. Counts, contexts and weights are tables that are joined by hash, with crowded keys
+split; no task holds a table of the vocabulary unless Spark measures it small enough to send. The
+logarithm of P is a sum over the n-grams that end at a token: of a seen one its correction to the
+probability by the shorter context, and of a context its backoff weight. So one table of values
+by hash and one sum by text give the scores.
 
 Null text counts as empty and is one end. Rows are scored one by one, whatever their ids; a null id
 hashes as empty text. An empty table gives an empty result; without training rows every text gets
@@ -24,25 +28,24 @@ the model of no counts. Ids must be whole numbers.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, slices, stored, strings
+from tradewind.llm.text import Words, light, slices, stored, strings
+from tradewind.session import split_crowded_keys
 
-VOCABULARY = 131_072
+VOCABULARY = math.inf
+ORDER = 2
 DISCOUNTED = 5
 SLICE = 16_000_000
-BLOCKS = "bucket long, slice long, kind int, a binary, b binary, c binary"
-SHIFT = np.int64(20)  # more than the vocabulary and its three further classes need
+START, END, OTHER = (np.int64(0x5AFE0000_0000_0000 + i) for i in range(3))
 
 
 def pack(values: np.ndarray, ascending: bool = False) -> bytes:
@@ -64,147 +67,82 @@ def unpack(block: bytes, ascending: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=kind) if ascending else values
 
 
-def held_out(ids: pa.Array, modulus: int, remainder: int) -> np.ndarray:
-    return np.array([zlib.crc32(b"" if x is None else str(x).encode()) % modulus == remainder for x in ids.to_pylist()], bool)
-
-
 def hashed(vocabulary: pa.Array) -> np.ndarray:
     return pd.util.hash_array(np.array(vocabulary.to_pylist(), dtype=object), categorize=False)
 
 
-def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of their counts."""
-    key, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)
+def mixed(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64(context, suffix)``."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turned = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = np.full(len(suffix), 42, np.uint64)
+    for values in (context, suffix):
+        h = (h + p5 + np.uint64(8)) ^ (turned(values.view(np.uint64) * p2, 31) * p1)
+        h = turned(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return h.view(np.int64)
 
 
-def by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    x = keys.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    columns = zip(*rows, strict=True) if rows else ((),) * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["bucket", "slice", "kind", "a", "b", "c"])
+def starts(order: int) -> list[np.int64]:
+    """Contexts of 1 to ``order`` - 1 starts."""
+    found = [START]
+    while len(found) < order - 1:
+        last = np.array(found[-1:])
+        found.append(mixed(last, last)[0])
+    return found
 
 
 @dataclass
-class Model:
-    """What every task needs: ``words`` are the vocabulary's hashes in order. Class numbers: the place of a
-    word in ``words``, then the end, the other words, and (as a context only) the start."""
-
-    words: np.ndarray
-    counts: np.ndarray  # of each class, and of the start
-    total: int  # training tokens
-    distinct: int  # different training tokens
-    discounts: np.ndarray = field(default_factory=lambda: np.ones(DISCOUNTED + 1))
-    seen: np.ndarray | None = None  # by context: sum of discounted shares
-    reserved: np.ndarray | None = None  # by context: P(c) of the classes seen after it
-
-    @property
-    def end(self) -> int:
-        return len(self.words)
-
-    @property
-    def other(self) -> int:
-        return len(self.words) + 1
-
-    @property
-    def start(self) -> int:
-        return len(self.words) + 2
-
-    @property
-    def single(self) -> np.ndarray:
-        """P(c) of each class."""
-        return (self.counts[:-1] + 1) / (self.total + len(self.words) + 2)
-
-    def share(self, context: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Discounted share of classes seen ``r`` times, before a context's exceptions."""
-        return self.discounts[np.where(r <= DISCOUNTED, r, 0)] * r / np.maximum(self.counts[context], 1)
-
-    def weights(self) -> tuple[np.ndarray, np.ndarray]:
-        """By context: a factor on seen shares, and the backoff weight."""
-        left, free = 1 - self.seen, 1 - self.reserved
-        full = free <= 1e-9  # every class has followed
-        bare = ~full & (left <= 1e-9)  # nothing was discounted
-        scale = np.where(full, 1 / np.maximum(self.seen, 1e-300), np.where(bare, self.counts / (self.counts + 1), 1.0))
-        backoff = np.where(full, 0.0, np.where(bare, 1 / (self.counts + 1), left) / np.where(full, 1.0, free))
-        return scale, backoff
-
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1) / (self.total + self.distinct + 1))
-
-    def classes(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each distinct word, and its class."""
-        own = hashed(words.vocabulary)
-        if not len(self.words):
-            return own, np.full(len(own), self.other)
-        place = np.minimum(np.searchsorted(self.words, own), len(self.words) - 1)
-        return own, np.where(self.words[place] == own, place, self.other)
-
-    def stream(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Owner, context and class of every token, ends included; owner and hash of every word of the other class."""
-        own, number = self.classes(words)
-        n = len(words.counts)
-        classes = number[words.codes] if len(words.codes) else np.empty(0, np.int64)
-        last = np.cumsum(words.counts)
-        tokens = np.insert(classes, last, self.end)  # an end after each text's words
-        owner = np.repeat(np.arange(n), words.counts + 1)
-        context = np.empty(len(tokens), np.int64)
-        context[1:] = tokens[:-1]
-        context[np.cumsum(words.counts + 1) - words.counts - 1] = self.start
-        rare = np.flatnonzero(classes == self.other)
-        return owner, context, tokens.astype(np.int64), words.owner[rare], own[words.codes[rare]] if len(rare) else np.empty(0, np.uint64)
-
-
-def _counted(docs: DataFrame, keys: Callable[[Words], np.ndarray], buckets: int, name: str) -> DataFrame:
-    """Table of one row a bucket: its keys in order (``a``), their counts (``b``). ``docs``: ``doc_id``, ``text``, ``train``."""
+class Texts:
+    """Texts as hashes. ``own`` are their words, ``owner`` the text of each; ``tokens`` the classes of words
+    and ends, ``at`` the text of each."""
+
+    own: np.ndarray
+    owner: np.ndarray
+    tokens: np.ndarray
+    at: np.ndarray
+    first: np.ndarray  # place in ``tokens`` where each text begins
+
+    @classmethod
+    def of(cls, texts: pa.Array, common: np.ndarray | None) -> Texts:
+        words = Words.of(texts, lower=True)
+        own = hashed(words.vocabulary).view(np.int64)[words.codes] if len(words.codes) else np.empty(0, np.int64)
+        classes = own if common is None else np.where(np.isin(own, common), own, OTHER)
+        tokens = np.insert(classes, np.cumsum(words.counts), END)  # an end after each text's words
+        sizes = words.counts + 1
+        return cls(own, words.owner, tokens, np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes)
+
+    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For 2 to ``order``: context, last tokens but one fewer, and hash of the n-gram ending at each token."""
+        suffix = self.tokens
+        for start in starts(order):
+            context = np.empty_like(suffix)
+            context[1:] = suffix[:-1]
+            context[self.first] = start
+            gram = mixed(context, suffix)
+            yield context, suffix, gram
+            suffix = gram
+
+
+def counted(docs: DataFrame, order: int, common: np.ndarray | None) -> DataFrame:
+    """``context``, ``suffix`` and count ``n`` of the training n-grams; words if ``order`` is 1, by ``suffix``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            batch = batch.filter(batch.column("train"))
-            key, n = np.unique(keys(Words.of(strings(batch.column("text")), lower=True)), return_counts=True)
-            place = by_bucket(key, buckets)
-            order = np.argsort(place, kind="stable")
-            cuts = np.searchsorted(place[order], np.arange(buckets + 1))
-            yield _batch([(b, 0, 0, pack(key[own], True), pack(n[own].astype(np.int64)), None)
-                          for b in range(buckets) if len(own := order[cuts[b] : cuts[b + 1]])])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held = None, ([], [])
-
-        def done() -> pa.RecordBatch:
-            key, n = merged(*held)
-            return _batch([(bucket, -1, 0, pack(key, True), pack(n), None)])
-
-        for batch in batches:
-            for b, x, y in zip(batch.column("bucket").to_pylist(), batch.column("a"), batch.column("b"), strict=True):
-                if b != bucket:
-                    if bucket is not None:
-                        yield done()
-                    bucket, held = b, ([], [])
-                held[0].append(unpack(x.as_py(), True))
-                held[1].append(unpack(y.as_py()))
-                if sum(map(len, held[0])) > 4_000_000:
-                    held = tuple([x] for x in merged(*held))
-        if bucket is not None:
-            yield done()
-
-    blocks = docs.mapInArrow(count, BLOCKS)
-    return stored(blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(join, BLOCKS), name)
+            texts = Texts.of(strings(batch.filter(batch.column("train")).column("text")), common)
+            if order == 1:
+                suffix, n = np.unique(texts.own, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"suffix": suffix, "n": n})
+            elif len(texts.tokens):
+                *_, (context, suffix, gram) = texts.grams(order)
+                _, place, n = np.unique(gram, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"context": context[place], "suffix": suffix[place], "n": n})
 
-
-def _told(table: DataFrame, read: Callable[[np.ndarray, np.ndarray], dict], schema: str) -> DataFrame:
-    """Rows that ``read`` makes of each bucket's keys and counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
-                yield pa.RecordBatch.from_pydict(read(unpack(x.as_py(), True), unpack(y.as_py())))
-
-    return table.mapInArrow(run, schema)
+    keys = ["suffix"] if order == 1 else ["context", "suffix"]
+    rows = docs.mapInArrow(count, "".join(f"{k} long, " for k in keys) + "n long")
+    return stored(rows.groupBy(*keys).agg(F.sum("n").alias("n")), f"grams-{order}")
 
 
 def discounts(types: dict[int, int]) -> np.ndarray:
@@ -220,157 +158,127 @@ def discounts(types: dict[int, int]) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, and its tables of words and of pairs, from rows of ``docs`` with ``train``."""
-    words = _counted(docs, lambda w: hashed(w.vocabulary)[w.codes] if len(w.codes) else np.empty(0, np.uint64), buckets, "words")
-    # Counts of distinct words by count: at most some thousand rows a bucket, added up by Spark.
-    by_count = _told(words, lambda k, n: dict(zip(("r", "n"), np.unique(np.minimum(n, 1_000_000), return_counts=True), strict=True)), "r long, n long")
-    sizes = by_count.groupBy("r").agg(F.sum("n").alias("n"))
-    sizes = {r["r"]: r["n"] for r in sizes.collect()}
+@dataclass
+class Model:
+    """``values`` by hash: ``v``, for the score, and of words ``b``, for the base. What is the same for all texts or
+    words is added besides."""
+
+    values: DataFrame
+    common: np.ndarray | None
+    total: int  # training tokens
+    ends: int  # training texts
+    per_word: tuple[float, float]  # score and base of each word besides its values
+    per_text: tuple[float, float]
+
+
+def commonest(words: DataFrame, vocabulary: float) -> DataFrame:
+    """The commonest words, in whole count levels, at most ``vocabulary``."""
+    sizes = {r["n"]: r["count"] for r in words.groupBy("n").count().collect()}
     least, kept = max(sizes, default=0) + 1, 0
     for r in sorted(sizes, reverse=True):
         if kept + sizes[r] > vocabulary:
             break
         least, kept = r, kept + sizes[r]
-    common = _told(words, lambda k, n: {"h": k[n >= least].view(np.int64), "n": n[n >= least]}, "h long, n long").toArrow()
-    order = np.argsort(common.column("h").to_numpy().view(np.uint64))
-    known = common.column("h").to_numpy().view(np.uint64)[order]
-    sums = _told(words, lambda k, n: {"t": [n.sum()], "d": [len(n)]}, "t long, d long").agg(F.sum("t").alias("t"), F.sum("d").alias("d")).first()
-    texts = docs.where("train").count()
-    n_words, distinct = sums["t"] or 0, sums["d"] or 0
-    counts = common.column("n").to_numpy()[order]
-    model = Model(known, np.concatenate([counts, [texts, n_words - counts.sum(), texts]]).astype(np.int64), n_words + texts, distinct + (texts > 0))
-
-    def pairs(words: Words) -> np.ndarray:
-        _, context, token, _, _ = model.stream(words)
-        return (context << SHIFT) + token
-
-    table = _counted(docs, pairs, buckets, "pairs")
-    types = _told(table, lambda k, n: dict(zip(("r", "n"), np.unique(n[n <= DISCOUNTED + 1], return_counts=True), strict=True)), "r long, n long")
-    model.discounts = discounts({r["r"]: r["n"] for r in types.groupBy("r").agg(F.sum("n").alias("n")).collect()})
-    single = model.single
-
-    def masses(key: np.ndarray, n: np.ndarray) -> dict:
-        context, token = key >> SHIFT, key & ((1 << SHIFT) - 1)
-        found, place = np.unique(context, return_inverse=True)
-        return {"h": found, "s": np.bincount(place, model.share(context, n), len(found)), "u": np.bincount(place, single[token], len(found))}
-
-    mass = _told(table, masses, "h long, s double, u double").groupBy("h").agg(F.sum("s").alias("s"), F.sum("u").alias("u")).toArrow()
-    model.seen, model.reserved = np.zeros(len(model.counts)), np.zeros(len(model.counts))
-    model.seen[mass.column("h").to_numpy()] = mass.column("s").to_numpy()
-    model.reserved[mass.column("h").to_numpy()] = mass.column("u").to_numpy()
-    return model, words, table
-
-
-def _questions(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """What each slice of texts asks each bucket: keys, how often, and by which text. Kind 1: pairs, 2: words of
-    the other class (buckets from ``buckets`` on), 0: ids and what the slice knows of its texts already."""
-
-    def grouped(key: np.ndarray, owner: np.ndarray, number: int, kind: int, first: int) -> list[tuple]:
-        place = by_bucket(key, buckets)
-        order = np.lexsort((owner, key, place))
-        cuts = np.searchsorted(place[order], np.arange(buckets + 1))
-        rows = []
-        for b in range(buckets):
-            own = order[cuts[b] : cuts[b + 1]]
-            if len(own):
-                keys, times = np.unique(key[own], return_counts=True)
-                rows.append((first + b, number, kind, pack(keys, True), pack(times.astype(np.int32)), pack(owner[own].astype(np.int32))))
-        return rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in slices(batches, "text", SLICE):
-            words = Words.of(strings(batch.column("text")), lower=True)
-            owner, context, token, rare_owner, rare = model.stream(words)
-            n = batch.num_rows
-            ids = batch.column("doc_id").cast(pa.int64())
-            numbers = np.column_stack([pc.fill_null(ids, 0).to_numpy(), pc.is_null(ids).to_numpy(zero_copy_only=False).astype(np.int64), words.counts + 1])
-            plain = token != model.other
-            base = np.bincount(owner[plain], model.base(model.counts[token[plain]]), n)
-            known = np.bincount(owner[plain], model.counts[token[plain]] > 0, n)
-            rows = [(number % buckets, number, 0, pack(numbers.ravel()), pack(base), pack(known))]
-            rows += grouped((context << SHIFT) + token, owner, number, 1, 0)
-            rows += grouped(rare, rare_owner, number, 2, buckets)
-            yield _batch(rows)
-            number += 1
-
-    return docs.mapInArrow(run, BLOCKS)
-
-
-def score(docs: DataFrame, model: Model, words: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
+    return words.where(F.col("n") >= least)
+
+
+def fit(docs: DataFrame, order: int = ORDER, vocabulary: float = VOCABULARY) -> Model:
+    """The model from rows of ``docs`` with ``train``."""
+    spark = docs.sparkSession
+    words = counted(docs, 1, None)
+    sums = words.agg(F.sum("n"), F.count(F.lit(1))).first()
+    n_words, different, texts = sums[0] or 0, sums[1], docs.where("train").count()
+    total = n_words + texts
+    classes, common, rare = words, None, (0, 0)
+    if different > vocabulary:
+        classes = commonest(words, vocabulary)
+        common = classes.select("suffix").toArrow().column(0).to_numpy()
+        kept = classes.agg(F.sum("n")).first()[0] or 0
+        rare = n_words - kept, different - len(common)
+    shares = total + different - rare[1] + 2
+    single = spark.createDataFrame([(int(END), texts), (int(OTHER), rare[0])], "suffix long, n long").union(classes)
+    lower = stored(single.select(F.col("suffix").alias("id"), ((F.col("n") + 1) / shares).alias("p")), "shares")
+    own = words.select(F.col("suffix").alias("id"), F.log10(F.col("n") + 1).alias("v"), F.log10(F.col("n") + 1).alias("b"))
+    if common is not None:
+        inside = math.log10((rare[0] + 1) / (sum(rare) + 1))
+        own = own.union(spark.createDataFrame([(int(OTHER), inside, None)], "id long, v double, b double"))
+
+    opening, parts = 0.0, []
+    for k, start in enumerate(starts(order), 2):
+        grams = counted(docs, k, common)
+        n = F.col("n")
+        types = {r["n"]: r["count"] for r in grams.where(n <= DISCOUNTED + 1).groupBy("n").count().collect()}
+        factors = F.array(*[F.lit(float(x)) for x in discounts(types)])
+        gained = F.element_at(factors, F.when(n <= DISCOUNTED, n).otherwise(0).cast("int") + 1) * n
+        priced = stored(grams.join(light(lower), grams["suffix"] == lower["id"]).select("context", "suffix", "n", gained.alias("g"), "p"), "priced")
+        mass = priced.groupBy("context").agg(F.sum("n").alias("all"), F.sum("g").alias("s"), F.sum("p").alias("u"))
+        left, free, held = 1 - F.col("s") / F.col("all"), 1 - F.col("u"), F.col("all")
+        full = free <= 1e-9  # every class has followed
+        bare = left <= 1e-9  # nothing was discounted
+        contexts = stored(mass.select(
+            F.col("context").alias("id"),
+            (F.when(full, held / F.col("s")).when(bare, held / (held + 1)).otherwise(1.0) / held).alias("scale"),
+            F.when(full, 0.0).when(bare, -F.log10(held + 1) - F.log10(free)).otherwise(F.log10(left) - F.log10(free)).alias("backoff"),
+        ), "contexts")
+        opening += sum(r["backoff"] for r in contexts.where(F.col("id") == int(start)).collect())
+        weights = contexts.select("id", F.col("backoff").alias("v"), F.lit(None).cast("double").alias("b"))
+        parts.append(own.union(weights).groupBy("id").agg(F.sum("v").alias("v"), F.sum("b").alias("b")))
+        p = F.col("g") * F.col("scale")
+        named = priced.join(light(contexts), priced["context"] == contexts["id"]).select(F.xxhash64("context", "suffix").alias("id"), p.alias("p"), (F.log10(p) - F.col("backoff") - F.log10("p")).alias("more"))
+        if k < order:
+            named = stored(named, "named")
+            lower = named.select("id", "p")
+        own = named.select("id", F.col("more").alias("v"), F.lit(None).cast("double").alias("b"))
+    values = own
+    for part in parts:
+        values = values.union(part)
+    smallest = -math.log10(shares)
+    base = -math.log10(total + different + (texts > 0) + 1)
+    end = math.log10(texts + 1)
+    return Model(stored(values, "values"), common, total, texts, (smallest, base), (end + smallest + opening, end + base))
+
+
+def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of each row."""
-    scale, backoff = model.weights()
-    single = model.single
-    tiny = np.log10(1 / (model.counts[model.other] + max(0, model.distinct - len(model.words) - (model.counts[model.end] > 0)) + 1))
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, keys, counts = None, np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            rows = []
-            for b, number, kind, x, y, z in zip(*(batch.column(c).to_pylist() for c in ("bucket", "slice", "kind", "a", "b", "c")), strict=True):
-                if number < 0:  # the bucket's table comes before all questions
-                    bucket, keys, counts = b, unpack(x, True), unpack(y)
-                    continue
-                if kind == 0:
-                    rows.append((0, number, 0, x, y, z))
-                    continue
-                asked, times, owner = unpack(x, True), unpack(y), unpack(z)
-                r = np.zeros(len(asked), np.int64)
-                if b == bucket and len(keys):
-                    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                    r = np.where(keys[place] == asked, counts[place], 0)
-                texts, place = np.unique(owner, return_inverse=True)
-                add = lambda v: np.bincount(place, np.repeat(v, times), len(texts))  # noqa: B023, E731
-                if kind == 1:
-                    context, token = asked >> SHIFT, asked & ((1 << SHIFT) - 1)
-                    share = np.where(r > 0, model.share(context, r) * scale[context], backoff[context] * single[token])
-                    sums = [add(np.log10(np.maximum(share, 1e-300))), np.zeros(len(texts)), np.zeros(len(texts))]
-                else:
-                    sums = [add(np.log10(r + 1) + tiny), add(model.base(r)), add(r > 0)]
-                rows.append((0, number, kind, pack(texts, True), pack(np.column_stack(sums).ravel()), None))
-            yield _batch(rows)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, facts, parts = None, None, []
-
-        def done() -> pa.RecordBatch:
-            ids, base, known = facts
-            ids = ids.reshape(-1, 3)
-            sums = np.zeros((len(ids), 3))
-            for texts, own in parts:
-                sums[texts] += own.reshape(-1, 3)
-            return pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids[:, 0], mask=ids[:, 1] == 1), "n_tokens": ids[:, 2], "n_known": (known + sums[:, 2]).astype(np.int64),
-                "base_score": base + sums[:, 1], "score": sums[:, 0],
-            })
-
-        for batch in batches:
-            for number, kind, x, y, z in zip(*(batch.column(c).to_pylist() for c in ("slice", "kind", "a", "b", "c")), strict=True):
-                if number != current:
-                    if current is not None:
-                        yield done()
-                    current, parts = number, []
-                if kind == 0:
-                    facts = unpack(x), unpack(y), unpack(z)
-                else:
-                    parts.append((unpack(x, True), unpack(y)))
-        if current is not None:
-            yield done()
-
-    tables = pairs.union(words.withColumn("bucket", F.col("bucket") + buckets))
-    asked = tables.union(_questions(docs, model, buckets)).repartition("bucket").sortWithinPartitions("bucket", "slice")
-    answers = asked.mapInArrow(answer, BLOCKS).repartition("slice").sortWithinPartitions("slice", "bucket", "kind")
-    return answers.mapInArrow(gather, "doc_id long, n_tokens long, n_known long, base_score double, score double")
-
-
-def score_texts(df: DataFrame, modulus: int = 7, remainder: int = 2, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
+    common = model.common
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every hash in a text, once, and how often; below zero for words."""
+        for batch in slices(batches, "text", SLICE):
+            texts = Texts.of(strings(batch.column("text")), common)
+            sets = [(texts.own, texts.owner, -1), *((gram, texts.at, 1) for _, _, gram in texts.grams(order))]
+            if common is not None:
+                rare = np.flatnonzero(texts.tokens == OTHER)
+                sets.append((texts.tokens[rare], texts.at[rare], 1))
+            for ids, owner, sign in sets:
+                by = np.lexsort((ids, owner))
+                ids, owner = ids[by], owner[by]
+                new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (owner[1:] != owner[:-1])][: len(ids)])
+                times = np.diff(np.r_[new, len(ids)]) * sign
+                place = pa.array(owner[new])
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(place), "doc_id": batch.column("doc_id").take(place), "id": ids[new], "times": times.astype(np.int32)})
+
+    asked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(ask, "row long, doc_id long, id long, times int")
+    sums = asked.join(model.values, "id", "left").groupBy("row", "doc_id").agg(
+        F.sum(F.when(F.col("times") < 0, -F.col("times")).otherwise(0)).alias("words"),
+        F.sum(F.when((F.col("times") < 0) & F.col("b").isNotNull(), -F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.abs("times") * F.col("v")).alias("v"),
+        F.sum(F.abs("times") * F.col("b")).alias("b"),
+    )
+    summed = lambda name, i: F.coalesce(F.col(name), F.lit(0.0)) + F.col("words") * model.per_word[i] + model.per_text[i]
+    return sums.select(
+        "doc_id", (F.col("words") + 1).alias("n_tokens"), (F.col("known") + int(model.ends > 0)).alias("n_known"),
+        summed("b", 1).alias("base_score"), summed("v", 0).alias("score"),
+    )
+
+
+def score_texts(df: DataFrame, modulus: int = 7, remainder: int = 2, key: str = "doc_id", text: str = "text", vocabulary: float = VOCABULARY, order: int = ORDER) -> DataFrame:
     """Scores of all rows by a model of those whose crc32(id as text) modulo ``modulus`` is not ``remainder``."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
+    split_crowded_keys(df.sparkSession)
     out = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % modulus == remainder
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), (~out).alias("train"))
-    # As many buckets as tasks that share them: both follow the size of the data.
-    buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    model, words, pairs = fit(docs, buckets, vocabulary)
-    scored = score(docs, model, words, pairs, buckets)
+    model = fit(docs, order, vocabulary)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == remainder
-    return scored.withColumns({"held_out": held, "train_tokens": F.lit(model.total).cast("long")})
+    return score(docs, model, order).withColumns({"held_out": held, "train_tokens": F.lit(model.total).cast("long")})
