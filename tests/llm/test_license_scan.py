@@ -52,3 +52,17 @@ def test_rows_stay_apart(spark):
     rows = [(1, "mit license", "a", 1), (1, "mit license", "b", 2), (None, "apache license", "c", 3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, label string, row int")
     assert sorted((r["n_base"], r["labels"]) for r in license_scan.scan(frame).collect()) == [(1, "apache"), (1, "mit"), (1, "mit")]
+
+
+def test_versions_and_short_notices(spark):
+    """One word changed, other versions, and only the best of overlapping templates."""
+    cases = {
+        "Licensed under CC BY-NC 4.0": "cc-by-nc", "x Licensed under CC BY-NC 3.0 y": "cc-by-nc", "Licensed under CC BY 3.0": "cc-by", "licensed under CC BY-SA 3.0.": "cc-by-sa",
+        "Licensed under CC BY 4.0": "cc-by", "Licensed under CC BY-ND 4.0": "", "licenced under CC BY 4.0": "cc-by", "Licensed under the CC BY-NC 2.5": "cc-by-nc",
+        "GNU Affero General Public Licence": "agpl", "released under the BSD license": "", "released under MIT terms": "", "released by others under the license": "",
+        "Licensed under a Creative Commons Attribution NonCommercial 3.0 International License": "cc-by-nc", "all rights are reserved": "", "All Rights Reserved.": "proprietary",
+        "Licensed under CC BY 4.0, parts licensed under CC BY-NC 4.0": "cc-by,cc-by-nc", "of the license of the license " * 40 + "Licensed under CC BY 1.0": "cc-by",
+        "licensed under the Apache License, Version 1.1": "apache", "distributed under the MIT license": "mit",
+    }
+    found = scanned(spark, list(cases))
+    assert {text: found[i]["labels"] for i, text in enumerate(cases)} == cases
