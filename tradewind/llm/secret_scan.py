@@ -1,7 +1,8 @@
 """Secrets in text: candidates by shape, false positives removed by a random forest.
 
 A candidate is a run of 12 or more characters of ``[A-Za-z0-9+/=_.-]`` with a digit, without an
-assignment's name before it. What the forest reads of each: its length, how its characters change kind from one
+assignment's name before it; any issued key; and any value assigned to a secret's name, whatever its
+characters and length (between quotes all of it, else up to white space). What the forest reads of each: its length, how its characters change kind from one
 to the next and how evenly they are spread, how much of it dictionary words cover, whether it looks
 like a path, an address or a number, whether its document's source reads like sample code, and the
 words beside it. It is trained on labelled findings: a table of ``candidate``, ``before``,
@@ -40,6 +41,9 @@ WORDS = re.compile(r"[A-Za-z_]+")
 SECRET_NAMES = frozenset("password passwd pwd secret token apikey api_key key access_key auth bearer credential".split())
 # Shapes of issued keys.
 ISSUED = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_\-]{35}")
+ISSUED_KEY = re.compile(rf"(?<![A-Za-z0-9])(?:{ISSUED.pattern})(?![A-Za-z0-9])")
+NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer"
+VALUE = re.compile(rf"(?i)(?:{NAMES})\w{{0,20}}[\"']?[ \t]{{0,3}}(?::=|=>|[=:])[ \t]{{0,3}}(?:\"([^\"\n]+)\"|'([^'\n]+)'|[\"']?([^\s\"']\S*))")
 HARMLESS = re.compile(r"\d[\d.\-/]*|\d+(?:\.\d+)+|[^@\s]+\.(?:com|org|net|html?|txt|pdf|png|jpe?g)|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z]+[-_.][A-Za-z._\-]+\d{0,4}")
 KINDS = 4  # of characters: small letter, capital, digit, other
 NEAR = 3
@@ -52,7 +56,8 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
         for batch in slices(batches, "text"):
             out: dict[str, list] = {name: [] for name in ("at", "start", "end", "candidate", "before", "after")}
             texts = strings(batch.column("text"))
-            for at in np.flatnonzero(pc.match_substring_regex(texts, "[0-9]")).tolist():
+            worth = pc.match_substring_regex(texts, rf"[0-9]|(?i:{NAMES})|AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|AIza")
+            for at in np.flatnonzero(worth).tolist():
                 text = texts[at].as_py()
                 for start, end in spots(text):
                     line = text.rfind("\n", 0, start) + 1
@@ -82,13 +87,35 @@ def spots(text: str) -> list[tuple[int, int]]:
             end -= 1
         if end - start >= 12:
             found.append((start, end))
-    return found
+    more = [m.span() for m in ISSUED_KEY.finditer(text)]
+    for match in VALUE.finditer(text):
+        start, end = match.span(match.lastindex)
+        while match.lastindex == 3 and end > start + 1 and text[end - 1] in ".,;)]}>\"'":
+            end -= 1
+        more.append((start, end))
+    if not more:
+        return found
+    whole: list[tuple[int, int]] = []
+    runs = set(found)
+    for start, end in sorted(found + more):  # overlapping ones are one, but a run is cut where a key or value begins in it
+        if whole and start < whole[-1][1]:
+            first, last = whole.pop()
+            if (first, last) in runs and first < start:
+                if start - first >= 12 and re.search(r"\d", text[first:start]):
+                    whole.append((first, start))
+                first = start
+            whole.append((first, max(end, last)))
+        else:
+            whole.append((start, end))
+    return whole
 
 
 def judged(candidate: str, before: str) -> int | None:
     """1 for a sure secret, 0 for a sure false positive, None if no rule says."""
     if ISSUED.fullmatch(candidate):
         return 1
+    if len(candidate) < 12 or not re.search(r"\d", candidate):
+        return None
     if HARMLESS.fullmatch(candidate):
         return 0
     if ASSIGNED.search(before[-40:]) and len(set(candidate)) >= 8:
