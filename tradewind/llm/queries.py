@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
+from tradewind.llm import bpe, divergence, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -71,6 +71,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents"), shards).withColumnRenamed("key", "doc_id")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -82,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_ngram_join": op9_ngram_join,
     "op10_sharding": op10_sharding,
+    "op11_divergence_audit": op11_divergence_audit,
 }

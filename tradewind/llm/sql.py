@@ -39,7 +39,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-STATEMENTS = {"op6_quality_cascade": OP6}
+# Counts are widened so that all arithmetic is exact.
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 3
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), counted AS (
+  SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), totals AS (
+  SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n FROM groups LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c, 0) + 1) // (n + v) AS p
+  FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+), q AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(c) + 1)::HUGEINT // (sum(sum(c)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT AS q
+  FROM p GROUP BY lang, term
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (FROM pairs UNION ALL FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+STATEMENTS = {"op6_quality_cascade": OP6, "op11_divergence_audit": OP11}
 
 
 def _license_sql() -> str:
