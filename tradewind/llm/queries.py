@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, divergence, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
+from tradewind.llm import bpe, conversation_repair, divergence, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -75,6 +75,10 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -87,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_sharding": op10_sharding,
     "op11_divergence_audit": op11_divergence_audit,
+    "op12_conversation_repair": op12_conversation_repair,
 }
