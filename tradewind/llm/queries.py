@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, conversation_repair, divergence, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
+from tradewind.llm import bpe, compression_quality, conversation_repair, divergence, embedding_dedup, katz, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, toxicity
 from tradewind.llm.text import read, remainder
 
 
@@ -79,6 +79,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audit(read(spark, sf_dir, "conversations"))
 
 
+def op13_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.score_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_harmonic_packing": op2_harmonic_packing,
@@ -92,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_divergence_audit": op11_divergence_audit,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_compression_quality": op13_compression_quality,
 }
