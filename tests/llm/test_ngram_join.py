@@ -102,3 +102,30 @@ def test_components_in_any_number_of_tasks(spark, monkeypatch, per_task):
             changed |= root[a] != low or root[b] != low
             root[a] = root[b] = low
     assert got == root
+
+
+def test_rows_without_ids_or_with_one_id_do_not_multiply(spark):
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [[draw.choice(words) for _ in range(60)] for _ in range(40)]
+    texts = [" ".join(b if draw.random() > 0.02 else "x" for b in base[i % 40]) for i in range(300)]
+    for key in (None, 7):
+        rows = [(key, t) for t in texts]
+        assert found(spark, rows) == brute(rows)
+
+
+def test_more_repeated_tokens_than_are_held(spark, monkeypatch):
+    """A crowd of tokens beyond every bound changes what is compared, not what is found."""
+    monkeypatch.setattr(ngram_join, "COMMON", 50)
+    monkeypatch.setattr(ngram_join, "HELD", 80)
+    draw = random.Random(4)
+    lines = [" ".join(f"p{i}q{j}" for j in range(30)) for i in range(12)]
+    rows = [(i, " ".join([draw.choice(lines), f"own{i % 90} text{i % 90} here{i % 90}", draw.choice(lines)])) for i in range(400)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_one_row_is_kept_of_a_shuffled_table(spark):
+    rows = [(i, " ".join(f"word{j + 100 * (i % 5)}" for j in range(40)), i) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, node long").repartition(7).orderBy("text").repartition(5)
+    kept = ngram_join.keep_one(frame)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4] and kept.columns == frame.columns

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import stored
+from tradewind.llm.text import released, stored
 
 
 PER_TASK = 500_000
@@ -53,7 +53,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         tasks = max(1, -(-left.count() // PER_TASK))
         dealt = left.repartition(tasks, "a") if tasks > 1 else left.coalesce(1)
-        joined = stored(dealt.mapInArrow(_contract, "node long, root long"), "roots")
+        joined = stored(dealt.mapInArrow(released(_contract), "node long, root long"), "roots")
         if tasks == 1:
             levels.append(joined)
             break

@@ -25,31 +25,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
-from tradewind.llm.text import Words, light, slices, stored, strings
+from tradewind.llm.hashing import hash64, mixed
+from tradewind.llm.text import Words, light, released, slices, stored, strings
 
 WIDTH = 5
 # Tokens that go last in the first order: at most so many, held by each task. They decide what is
 # compared, not what is found.
 COMMON = 400_000
+# Repeated tokens that a counting task holds.
+HELD = 400_000
 # Sets that a comparing task holds, and pairs for it, about.
 HUBS, PAIRS = 2048, 100_000
 NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def prefix(n: np.ndarray) -> np.ndarray:
     return n - (3 * n + 3) // 4 + 1
 
@@ -59,8 +54,7 @@ class Sets:
 
     def __init__(self, texts: pa.Array):
         words = Words.of(texts, lower=True)
-        hashes = pd.util.hash_array(np.array(words.vocabulary.to_pylist(), dtype=object), categorize=False)
-        own = hashes[words.codes] if len(words.codes) else np.empty(0, np.uint64)
+        own = hash64(words.vocabulary)[words.codes]
         short = np.flatnonzero((words.counts > 0) & (words.counts < WIDTH))
         first = np.cumsum(words.counts) - words.counts
         at = words.starts(WIDTH)
@@ -91,21 +85,21 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and fingerprint of each row; at the end of the task, tokens that it has seen often (``n`` negative).
 
     Counts of rare tokens are thinned out whenever many are held, so memory stays bounded."""
-    held = pd.Series(dtype=np.int64)
-    rows = 0
-    for batch in slices(batches, "text", 16_000_000):
+    held, often = np.empty(0, np.int64), np.empty(0, np.int64)
+    for batch in slices(batches, "text"):
         sets = Sets(strings(batch.column("text")))
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n": sets.sizes, "node": sets.prints})
-        rows += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "h": batch.column("h"), "n": sets.sizes, "node": sets.prints})
         tokens, counts = np.unique(sets.tokens, return_counts=True)
         several = counts > 1
-        held = held.add(pd.Series(counts[several], tokens[several].view(np.int64)), fill_value=0)
-        if len(held) > 1_000_000:
-            held = held[held > max(2, rows // 10_000)]
-    held = held[held >= 2].nlargest(COMMON, keep="all").astype(np.int64)
+        held, place = np.unique(np.concatenate([held, tokens[several].view(np.int64)]), return_inverse=True)
+        often = np.bincount(place, np.concatenate([often, counts[several]]), len(held)).astype(np.int64)
+        del sets, tokens, counts, place
+        if len(held) > HELD:
+            kept = often > np.partition(often, -HELD // 2)[-HELD // 2]
+            held, often = held[kept], often[kept]
     if len(held):
         none = pa.nulls(len(held), batch.schema.field("doc_id").type)
-        yield pa.RecordBatch.from_pydict({"doc_id": none, "row": pa.nulls(len(held), pa.int64()), "n": -held.to_numpy(), "node": held.index.to_numpy().astype(np.int64)})
+        yield pa.RecordBatch.from_pydict({"doc_id": none, "row": pa.nulls(len(held), pa.int64()), "h": pa.nulls(len(held), pa.int64()), "n": -often, "node": held})
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -131,7 +125,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
             owner = owner[used]
             yield pa.RecordBatch.from_pydict({"token": tokens[used].view(np.int64), "node": sets.prints[owner], "place": (sets.sizes[owner] << 32) + place[used]})
 
-    return docs.select("text").mapInArrow(run, "token long, node long, place long")
+    return docs.select("text").mapInArrow(released(run), "token long, node long, place long")
 
 
 def _both(place: str) -> tuple[Column, Column]:
@@ -152,7 +146,8 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and the bytes of its ``tokens`` for nodes wanted (``node``, ``id`` of one row that has it)."""
+    """``node`` and the bytes of its ``tokens`` for nodes wanted (``node``, ``id`` and text hash ``h`` of one row that has
+    it). Rows are found by both, so that rows with one id, or without one, do not multiply."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -166,8 +161,9 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"node": sets.prints[found], "tokens": pa.array([sets.of(i).tobytes() for i in found], pa.binary())})
 
     wanted = light(stored(wanted, "wanted"))
-    found = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node")
-    return stored(found.mapInArrow(run, "node long, tokens binary"), "sets")
+    held = wanted.withColumnRenamed("h", "hash")
+    found = docs.select("doc_id", "text", "h").join(held, (F.col("h") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "node")
+    return stored(found.mapInArrow(released(run), "node long, tokens binary"), "sets")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -238,7 +234,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sent = sets.join(others, "node").select("block", part, F.lit(1).alias("kind"), "node", none, "tokens")
     lists = pairs.groupBy("block", "node").agg(F.collect_list("hub").alias("partners")).select("block", part, F.lit(1).alias("kind"), "node", "partners", whole)
     placed = held.union(sent).union(lists).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "node", F.col("partners").isNull())
-    return stored(placed.mapInArrow(_compared, "a long, b long"), "links")
+    return stored(placed.mapInArrow(released(_compared), "a long, b long"), "links")
 
 
 def _nodes(pairs: DataFrame, distinct: bool = True) -> DataFrame:
@@ -270,19 +266,23 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     """One row per row of ``df``: ``doc_id``, ``n_shingles``, ``node`` (equal for equal sets), ``root`` (equal for
     equal components), ``component_id``, and ``row``, the integer column ``also``."""
     row = (F.col(also) if also else F.lit(None)).cast("long")
-    docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row"))
+    docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row")).withColumn("h", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    facts = stored(docs.mapInArrow(_facts, f"doc_id {kind}, row long, n long, node long"), "facts")
+    facts = stored(docs.mapInArrow(released(_facts), f"doc_id {kind}, row long, h long, n long, node long"), "facts")
     rows = facts.where("n >= 0")
     often = stored(facts.where("n < 0").groupBy("node").agg((-F.sum("n")).alias("n")), "often")
-    # How many tokens there are of each count, counts above a thousand together: few rows.
-    per_count = often.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("tokens")).collect()
-    least, kept = 1001, 0
-    for n, tokens in sorted(((r["n"], r["tokens"]) for r in per_count), reverse=True):
-        if kept + tokens > COMMON:
+    # How many tokens there are of each eighth of a power of two: few rows.
+    level = F.floor(F.log2("n") * 8)
+    per_level = often.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("tokens")).collect()
+    least, share, kept = 0, 0.0, 0
+    for least, tokens in sorted(((r["level"], r["tokens"]) for r in per_level), reverse=True):  # noqa: B007
+        share = min(1.0, (COMMON - kept) / tokens)
+        kept += tokens
+        if share < 1:  # of the last level that fits, a share by hash
             break
-        least, kept = n, kept + tokens
-    common = np.sort(often.where(F.col("n") >= least).select("node").toArrow().column("node").to_numpy().view(np.uint64))
+    some = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = often.where((level > least) | ((level == least) & some)).select("node")
+    common = np.sort(chosen.toArrow().column("node").to_numpy().view(np.uint64))
 
     alike = Window.partitionBy("token")
     held = _prefixes(docs, common).withColumns({"low": F.min("node").over(alike), "high": F.max("node").over(alike)})
@@ -291,13 +291,16 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", also: str |
     weights = lists.groupBy("node").agg((F.count(F.lit(1)) / F.max(size - F.floor((3 * size + 3) / 4) + 1)).alias("common"))
     lists = lists.join(light(stored(weights, "weights")), "node")
 
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = nodes.withColumnRenamed("doc_id", "id")
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "h")).alias("one"))
+    ids = nodes.select("node", F.col("one.doc_id").alias("id"), F.col("one.h").alias("h"))
     tried = _stars(lists)
     sets = _sets(docs, _nodes(tried).join(ids, "node"))
     links = _linked(tried, sets)
 
+    # Tokens whose nodes are all in one component by now have no pair left.
     x = _rooted(lists, links).select("token", "node", "place", "root")
+    apart = x.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    x = stored(x.join(apart.select("token"), "token"), "apart")
     y = x.select("token", *[F.col(c).alias(f"other_{c}") for c in ("node", "place", "root")])
     rest = x.join(y, "token").where((F.col("root") < F.col("other_root")) & _possible("place", "other_place"))
     rest = stored(rest.select(*_pair("node", "other_node")).distinct().join(light(tried), ["a", "b"], "left_anti"), "pairs")
@@ -316,7 +319,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """Of each component one row of ``df``, that with the smallest id (null last, then the first row); columns unchanged.
 
     Rows without words are all kept."""
-    numbered = df.withColumn(NUMBER, F.monotonically_increasing_id())
+    numbered = stored(df.withColumn(NUMBER, F.monotonically_increasing_id()), "numbered")  # numbered once, whatever made ``df``
     rows = classes(numbered, key, text, also=NUMBER)
     worded = F.col("n_shingles") > 0
     group = (worded.alias("worded"), F.when(worded, F.col("root")).otherwise(F.col("row")).alias("group"))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import slices, stored, strings
+from tradewind.llm.text import released, slices, stored, strings
 from tradewind.llm.tokens import Encoder
 
 CAPACITY = 4096
@@ -77,7 +77,7 @@ def pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     frame = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, k long, nth long, task long"
-    return frame.mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return frame.mapInArrow(released(run), schema + ", ids array<int>" * with_ids)
 
 
 def _best_fit(rows: pd.DataFrame) -> pd.DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, by_slice, slices, strings
+from tradewind.llm.text import Words, by_slice, released, slices, strings
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -144,7 +144,7 @@ def costs(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", ro
             yield pa.RecordBatch.from_pydict(out)
 
     sample = df.select(F.col(text).cast("string").alias("t")).limit(rows)
-    told = sample.mapInArrow(measure, "name string, seconds double, rejected long, seen long")
+    told = sample.mapInArrow(released(measure), "name string, seconds double, rejected long, seen long")
     sums = told.groupBy("name").agg(*[F.sum(c).alias(c) for c in ("seconds", "rejected", "seen")]).collect()
     return {r["name"]: (r["seconds"] / r["seen"], r["rejected"] / r["seen"]) for r in sums if r["seen"]}
 

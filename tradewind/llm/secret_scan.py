@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, by_slice, light, slices, stored, strings
+from tradewind.llm.text import Words, by_slice, light, released, slices, stored, strings
 
 SAMPLE = 20_000
 DICTIONARY = 20_000
@@ -72,7 +72,7 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
 
     frame = df.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), (F.col(source).cast("string") if source else F.lit("")).alias("source"), F.col(text).cast("string").alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"row long, doc_id {kind}, source string, start long, end long, candidate string, before string, after string")
+    return frame.mapInArrow(released(run), f"row long, doc_id {kind}, source string, start long, end long, candidate string, before string, after string")
 
 
 def spots(text: str) -> list[tuple[int, int]]:
@@ -147,13 +147,13 @@ def words(df: DataFrame, text: str = "text") -> frozenset[str]:
     """The commonest words of three or more letters, at most ``DICTIONARY``, over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "t", 16_000_000):
+        for batch in slices(batches, "t"):
             own = Words.of(strings(batch.column("t")), lower=True)
             n = np.bincount(own.codes, minlength=len(own.vocabulary)).astype(np.int64)
             plain = pc.match_substring_regex(own.vocabulary, "^[a-z]{3,20}$")
             yield pa.RecordBatch.from_pydict({"w": own.vocabulary.filter(plain), "n": n[plain.to_numpy(zero_copy_only=False)]})
 
-    counted = df.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    counted = df.select(F.col(text).cast("string").alias("t")).mapInArrow(released(count), "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
     return frozenset(r["w"] for r in counted.orderBy(F.desc("n"), "w").limit(DICTIONARY).collect())
 
 

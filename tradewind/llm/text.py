@@ -6,6 +6,7 @@ of a bounded number of bytes; only a single text larger than that makes a larger
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,6 +71,22 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as a task that gives freed memory back to the machine at its end: workers live on, and
+    what one task held must not add to what the next one needs."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the usual C library has it
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def by_slice(
     df: DataFrame, column: str, work: Callable[[pa.RecordBatch], dict | pa.RecordBatch], schema: str
 ) -> DataFrame:
@@ -80,7 +97,7 @@ def by_slice(
             out = work(batch)
             yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 class Words:
