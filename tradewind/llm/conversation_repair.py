@@ -242,6 +242,33 @@ def repaired(state: int, audit: str, rows: list[tuple[str, str]]) -> tuple[list[
     return lines, state
 
 
+class Rows:
+    """Rows gathered into record batches of about ``many`` rows or ``BYTES`` bytes."""
+
+    def __init__(self, schema: pa.Schema, many: int = 2000):
+        self.schema, self.many = schema, many
+        self.rows: list[dict] = []
+        self.size = 0
+
+    def add(self, row: dict, size: int = 0) -> Iterator[pa.RecordBatch]:
+        self.rows.append(row)
+        self.size += size
+        if len(self.rows) >= self.many or self.size >= BYTES:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            yield pa.RecordBatch.from_pylist(self.rows, self.schema)
+        self.rows, self.size = [], 0
+
+
+def schema_of(keys: pa.DataType, kinds: dict[str, str]) -> pa.Schema:
+    """Arrow's names for the kinds of column used here."""
+    named = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "conv": keys}
+    lists = {f"array<{k}>": pa.list_(kind) for k, kind in named.items()}
+    return pa.schema([(name, (named | lists)[kind]) for name, kind in kinds.items()])
+
+
 def damaged(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``conv``, ``turn``, ``role`` and ``text`` after damage by crc32(id:turn) modulo 20: 0 drops a row, 1 empties it, 2 takes
     its sentence ends, 3 repeats it, 4 gives it to the user."""
@@ -261,6 +288,19 @@ def _alike(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+CHUNK = {
+    "conv": "conv", "part": "int", "chunk": "long", "roles": "array<string>", "texts": "array<string>", "first": "string", "last": "string", "illegal": "long",
+    "low": "long", "high": "long", "turns": "long", "before": "array<int>", "after": "array<int>", "costs": "array<long>", "audits": "array<string>", **{f: "long" for f in FAULTS},
+}
+NUMBERS = (*FAULTS, "illegal", "gaps", "cost")
+CHOSEN = {"conv": "conv", "part": "int", "chunk": "long", "state": "int", "audit": "string", "tail": "string", **{n: "long" for n in NUMBERS}}
+DONE = {"conv": "conv", **{n: "long" for n in NUMBERS}, "audit": "string", "repaired_sha256": "string"}
+
+
+def ddl(kinds: dict[str, str], conv: str) -> str:
+    return ", ".join(f"{name} {conv if kind == 'conv' else kind}" for name, kind in kinds.items())
+
+
 def _chunks(keys: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Sorted rows as chunks."""
 
@@ -268,33 +308,27 @@ def _chunks(keys: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
+        out = Rows(schema_of(keys, CHUNK))
         held: list[dict] = []
         size = number = 0
-        before = None  # the row before, if of the same conversation
+        before = None  # the row before
         fresh = False  # whether the held chunk surely opens its conversation
 
-        def chunk() -> pa.RecordBatch:
-            rows = [(r["role"][:1], r["fault"]) for r in held]
+        def chunk() -> dict:
             turns = [r["turn"] for r in held if r["turn"] is not None]
-            initials = [i for i, _ in rows]
-            entries = table(rows, (0,) if fresh else tuple(range(STATES)))
-            out = {
-                "conv": pa.array([held[0]["conv"]], keys), "part": pa.array([part], pa.int32()), "chunk": pa.array([number], pa.int64()),
-                "roles": pa.array([[r["role"] for r in held]], pa.list_(pa.string())), "texts": pa.array([[r["text"] for r in held]], pa.list_(pa.string())),
-                "first": pa.array([initials[0]], pa.string()), "last": pa.array([initials[-1]], pa.string()),
-                "illegal": pa.array([sum(a + b not in LEGAL for a, b in zip(initials, initials[1:], strict=False))], pa.int64()),
-                "low": pa.array([min(turns, default=None)], pa.int64()), "high": pa.array([max(turns, default=None)], pa.int64()), "turns": pa.array([len(set(turns))], pa.int64()),
-                "before": pa.array([[e[0] for e in entries]], pa.list_(pa.int32())), "after": pa.array([[e[1] for e in entries]], pa.list_(pa.int32())),
-                "costs": pa.array([[e[2] for e in entries]], pa.list_(pa.int64())), "audits": pa.array([[e[3] for e in entries]], pa.list_(pa.string())),
+            initials = [r["role"][:1] for r in held]
+            entries = table([(r["role"][:1], r["fault"]) for r in held], (0,) if fresh else tuple(range(STATES)))
+            found = dict(zip(("before", "after", "costs", "audits"), map(list, zip(*entries, strict=True)), strict=True))
+            return found | {f: sum(r["fault"] == f for r in held) for f in FAULTS} | {
+                "conv": held[0]["conv"], "part": part, "chunk": number, "roles": [r["role"] for r in held], "texts": [r["text"] for r in held], "first": initials[0], "last": initials[-1],
+                "illegal": sum(a + b not in LEGAL for a, b in zip(initials, initials[1:], strict=False)), "low": min(turns, default=None), "high": max(turns, default=None), "turns": len(set(turns)),
             }
-            out |= {f: pa.array([sum(r["fault"] == f for r in held)], pa.int64()) for f in FAULTS}
-            return pa.RecordBatch.from_pydict(out)
 
         for batch in batches:
             for row in batch.to_pylist():
                 same = before is not None and before["conv"] == row["conv"]
                 if held and (not same or len(held) >= ROWS or size + len(row["text"]) > BYTES):
-                    yield chunk()
+                    yield from out.add(chunk(), size)
                     number, held, size = number + 1, [], 0
                 if not held:
                     fresh = before is not None and not same
@@ -306,18 +340,17 @@ def _chunks(keys: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 size += len(row["text"])
                 before = row
         if held:
-            yield chunk()
+            yield from out.add(chunk())
+        yield from out.rest()
 
     return run
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks in order, without texts, as one row per conversation and one per chunk."""
-    held: list[dict] = []
+def _summaries(keys: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Chunks in order, without texts: of each the state before it and its audit; the first of a conversation has its figures."""
 
-    def conversation(keys: pa.DataType) -> pa.RecordBatch:
-        tables = [list(zip(r["before"], r["after"], r["costs"], r["audits"], strict=True)) for r in held]
-        cost, steps, tail = joined(tables)
+    def conversation(held: list[dict]) -> Iterator[dict]:
+        cost, steps, tail = joined([list(zip(r["before"], r["after"], r["costs"], r["audits"], strict=True)) for r in held])
         lows = [r["low"] for r in held if r["low"] is not None]
         turns = sum(r["turns"] for r in held)
         illegal = sum(r["illegal"] for r in held)
@@ -325,21 +358,27 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             illegal += a["last"] + b["first"] not in LEGAL
             turns -= a["high"] is not None and a["high"] == b["low"]
         gaps = max(r["high"] for r in held if r["high"] is not None) - min(lows) + 1 - turns if lows else 0
-        n, one = len(held), {f: sum(r[f] for r in held) for f in FAULTS} | {"illegal": illegal, "gaps": gaps, "cost": cost}
-        out = {"conv": pa.array([held[0]["conv"]] * n, keys), "part": pa.array([r["part"] for r in held], pa.int32()), "chunk": pa.array([r["chunk"] for r in held], pa.int64())}
-        out |= {"state": pa.array([s for s, _ in steps], pa.int32()), "audit": pa.array([a for _, a in steps], pa.string()), "tail": pa.array([""] * (n - 1) + [tail], pa.string())}
-        out |= {c: pa.array([v] + [None] * (n - 1), pa.int64()) for c, v in one.items()}
-        return pa.RecordBatch.from_pydict(out)
+        figures = {f: sum(r[f] for r in held) for f in FAULTS} | {"illegal": illegal, "gaps": gaps, "cost": cost}
+        for r, (state, audit) in zip(held, steps, strict=True):
+            last = r is held[-1]
+            yield {"conv": r["conv"], "part": r["part"], "chunk": r["chunk"], "state": state, "audit": audit, "tail": tail if last else ""} | figures
+            figures = {}
 
-    for batch in batches:
-        keys = batch.schema.field("conv").type
-        for row in batch.to_pylist():
-            if held and held[0]["conv"] != row["conv"]:
-                yield conversation(keys)
-                held = []
-            held.append(row)
-    if held:
-        yield conversation(keys)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = Rows(schema_of(keys, CHOSEN)), []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["conv"] != row["conv"]:
+                    for r in conversation(held):
+                        yield from out.add(r)
+                    held = []
+                held.append(row)
+        if held:
+            for r in conversation(held):
+                yield from out.add(r)
+        yield from out.rest()
+
+    return run
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,29 +393,25 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.string())], names=[*names, "repaired"])
 
 
-def _hashes(numbers: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _hashes(keys: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Sorted chunks as conversations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(schema_of(keys, DONE))
         first, digest, audit, begun = None, hashlib.sha256(), [], False
-        keys = None
-
-        def row() -> pa.RecordBatch:
-            out = {"conv": pa.array([first["conv"]], keys)} | {c: pa.array([first[c]], pa.int64()) for c in numbers}
-            return pa.RecordBatch.from_pydict(out | {"audit": pa.array(["".join(audit)]), "repaired_sha256": pa.array([digest.hexdigest()])})
-
+        row = lambda: {n: first[n] for n in ("conv", *NUMBERS)} | {"audit": "".join(audit), "repaired_sha256": digest.hexdigest()}
         for batch in batches:
-            keys = batch.schema.field("conv").type
             for r in batch.to_pylist():
                 if first is None or first["conv"] != r["conv"]:
                     if first is not None:
-                        yield row()
+                        yield from out.add(row())
                     first, digest, audit, begun = r, hashlib.sha256(), [], False
                 audit += [r["audit"], r["tail"]]
                 digest.update(r["repaired"][0 if begun else 1 :].encode())
                 begun = begun or bool(r["repaired"])
         if first is not None:
-            yield row()
+            yield from out.add(row())
+        yield from out.rest()
 
     return run
 
@@ -395,19 +430,17 @@ def repair(rows: DataFrame, everyone: DataFrame) -> DataFrame:
     told = told.select("conv", "turn", "role", "text", "fault", F.coalesce(place > F.col("first"), F.lit(False)).alias("later"))
     order = ("conv", F.col("turn").asc_nulls_first(), "role", "text")
     ranged = told.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = f"conv {kind}, part int, chunk long, roles array<string>, texts array<string>, first string, last string, illegal long, low long, high long, turns long, before array<int>, after array<int>, costs array<long>, audits array<string>, blank long, duplicate long, truncated long"
     arrow = _arrow_type(rows, "conv")
-    chunks = stored(ranged.mapInArrow(_chunks(arrow), schema), "chunks")
+    chunks = stored(ranged.mapInArrow(_chunks(arrow), ddl(CHUNK, kind)), "chunks")
 
-    numbers = (*FAULTS, "illegal", "gaps", "cost")
     facts = chunks.drop("roles", "texts").repartition("conv").sortWithinPartitions("conv", "part", "chunk")
-    long = ", ".join(f"{c} long" for c in numbers)
-    chosen = stored(facts.mapInArrow(_summaries, f"conv {kind}, part int, chunk long, state int, audit string, tail string, {long}"), "chosen")
+    chosen = stored(facts.mapInArrow(_summaries(arrow), ddl(CHOSEN, kind)), "chosen")
 
     held = chunks.select("part", "chunk", "roles", "texts").join(chosen, ["part", "chunk"])
-    texts = held.mapInArrow(_texts, f"part int, chunk long, conv {kind}, audit string, tail string, {long}, repaired string")
+    numbers = ", ".join(f"{n} long" for n in NUMBERS)
+    texts = held.mapInArrow(_texts, f"part int, chunk long, conv {kind}, audit string, tail string, {numbers}, repaired string")
     streams = texts.repartition("conv").sortWithinPartitions("conv", "part", "chunk")
-    done = streams.mapInArrow(_hashes(numbers), f"conv {kind}, {long}, audit string, repaired_sha256 string")
+    done = streams.mapInArrow(_hashes(arrow), ddl(DONE, kind))
     zero, nothing = F.lit(0).cast("long"), F.lit(hashlib.sha256(b"").hexdigest())
     return everyone.select(F.col("conv").alias("c")).distinct().join(done, _alike("c", "conv"), "left").select(
         F.col("c").alias("conv_id"), *[F.coalesce(x, zero).alias(x) for x in ("gaps", *FAULTS, "illegal", "cost")], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
