@@ -65,3 +65,14 @@ def test_regression_finds_the_weights_of_its_own_data():
     x = np.stack([np.ones(20_000), rng.normal(size=20_000)], axis=1)
     y = (rng.random(20_000) < 1 / (1 + np.exp(-(0.5 + 2 * x[:, 1])))).astype(float)
     assert np.allclose(quality.logistic(x, y, np.ones(20_000)), [0.5, 2], atol=0.1)
+
+
+def test_one_labelled_id_of_most_rows(spark, monkeypatch):
+    """The sample stays bounded where an id repeats without end."""
+    monkeypatch.setattr(quality, "TEXTS", 50)
+    rows = [(1 if i % 2 else i, (GOOD if i % 2 else BAD).format(i * 7919)) for i in range(2000)]
+    labels = [(1, 1)] + [(i, 0) for i in range(0, 2000, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.learn(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    right = quality.score(df, model).withColumn("right", (quality.F.col("score") >= 0.5) == (quality.F.col("doc_id") == 1))
+    assert right.where("right").count() > 1990

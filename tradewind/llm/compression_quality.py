@@ -7,8 +7,9 @@ text's length and their product makes it a probability. It is fitted on texts th
 have not seen: two more pairs are built from one half of the labelled texts each (equal texts are in
 the same half) and applied to the other half.
 
-Fitted on bounded samples of labelled rows, chosen by hash over whole texts: at most ``CHUNKS`` chunks of
-``CHUNK`` bytes for a dictionary and label, and about ``CALIBRATED`` texts of each label for the regression.
+Fitted on a bounded sample of labelled rows, about ``TEXTS`` of each label, chosen by hash: ids first, so that
+no other text is moved, then rows where ids repeat. Of their chunks of ``CHUNK`` bytes at most ``CHUNKS`` go
+into a dictionary; the regression sees every sampled text.
 Where a label has too little text for the library to build a dictionary, its text itself is one.
 
 Null text counts as empty and is scored by length like any other. Rows are scored one by one, equal
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import by_slice, light, remainder, slices, stored, strings
+from tradewind.llm.text import by_slice, released, remainder, slices, stored, strings
 
 SIZE, LEVEL = 112_640, 3
 PIECE, CHUNK = 512, 2048
-CHUNKS, CALIBRATED = 4000, 20_000
+CHUNKS, TEXTS = 4000, 10_000
 HALVES, WHOLE = 2, 2  # numbers of the models: one for each half, and that of all texts
 
 
@@ -101,7 +102,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 def sampled(rows: DataFrame, per_group: int, *groups: str) -> DataFrame:
     """About ``per_group`` rows of each group by ``rank``, a hash, or all if there are fewer."""
     sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    kept = rows.join(F.broadcast(sizes), list(groups))  # a row for each label and half
+    kept = rows.join(F.broadcast(sizes), list(groups))  # a row for each label (and half)
     chance = F.pmod(F.xxhash64("rank"), F.lit(1 << 32)) < F.lit(float(1 << 32)) * per_group / F.col("n")
     return kept.where(chance)
 
@@ -129,14 +130,20 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model from the rows of ``df`` that ``labels`` (the same key, 0 or 1 in ``label``) covers."""
     known = labels.groupBy(F.col(key).alias("doc_id")).agg(F.min(label).alias("label"), F.max(label).alias("other")).where("label = other AND label IN (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
     docs = df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    labelled = stored(docs.select("doc_id").distinct().join(known, "doc_id"), "known")
+    ids = sampled(labelled.withColumn("rank", F.xxhash64("doc_id")), TEXTS, "label").select("doc_id", "label")
+    ids = F.broadcast(stored(ids, "ids"))  # about 2 * TEXTS ids
+    counts = {r["label"]: r["count"] for r in docs.select("doc_id").join(ids, "doc_id").groupBy("label").count().collect()}
     half = F.pmod(F.xxhash64("text"), F.lit(HALVES)).cast("int")
-    rows = stored(docs.join(known, "doc_id").select("label", half.alias("half"), F.xxhash64("doc_id", "text").alias("rank"), "text"), "labelled")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    rows = docs.join(ids, "doc_id").select("label", half.alias("half"), F.xxhash64("doc_id", "text").alias("rank"), "text")
+    chance = F.when(F.col("label") == 1, TEXTS / counts.get(1, 1)).otherwise(TEXTS / counts.get(0, 1))
+    rows = stored(rows.where(F.pmod(F.xxhash64("rank"), F.lit(1 << 32)) < chance * float(1 << 32)), "labelled")
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     if len(counts) < 2:
         return Model({}, None, share)
-    chunks = rows.mapInArrow(_chunks, "label int, half int, rank long, chunk binary")
-    chunks = stored(sampled(stored(chunks, "chunks"), CHUNKS // HALVES, "label", "half"), "sample")
+    chunks = rows.mapInArrow(released(_chunks), "label int, half int, rank long, chunk binary")
+    chunks = stored(sampled(chunks, CHUNKS // HALVES, "label", "half"), "sample")
     each = chunks.select(F.explode(F.array(F.col("half"), F.lit(WHOLE))).alias("model"), "label", "rank", "chunk")
     blocks = {(r["model"], r["label"]): bytes(r["block"]) for r in each.groupBy("model", "label").applyInArrow(_trained, "model int, label int, block binary").collect()}
     models = range(HALVES + 1)
@@ -148,8 +155,10 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         found = [sizes[h].difference(t) for h, t in zip(batch.column("half").to_pylist(), data, strict=True)]
         return {"label": batch.column("label"), "difference": found, "length": pa.array([len(t) for t in data], pa.int64())}
 
-    told = by_slice(sampled(rows, CALIBRATED, "label"), "text", measure, "label int, difference double, length long").toArrow()
+    told = by_slice(rows, "text", measure, "label int, difference double, length long").toArrow()
     y, difference, length = (told.column(c).to_numpy() for c in ("label", "difference", "length"))
+    order = np.lexsort((length, difference, y))  # so that sums do not change with the tasks
+    y, difference, length = y[order], difference[order], length[order]
     seen = np.bincount(y, minlength=2)
     weight = np.array([counts[v] / max(int(seen[v]), 1) for v in (0, 1)])[y]
     return Model({WHOLE: dictionaries[WHOLE]}, logistic(described(difference, length), y.astype(float), weight), share)
@@ -172,7 +181,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "difference": difference, "score": found})
 
     docs = df.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return docs.mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, difference double, score double")
+    return docs.mapInArrow(released(work), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, difference double, score double")
 
 
 def score_texts(df: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
