@@ -49,3 +49,14 @@ def test_rfm_of_customers_without_purchase_time(spark, warehouse):
     orders = orders.withColumns({d: F.when(~gone, F.col(d)) for d in ("order_purchase_date",)})
     rows = agg_customer_rfm(orders, warehouse["dim_customers"]).filter(gone).collect()
     assert rows and {r["recency_score"] for r in rows} == {1} and all(r["rfm_cell"] for r in rows)
+
+
+def test_first_rows_of_each_group(spark):
+    from tradewind.operators.global_order import first_in_group
+
+    rows = [(g, i * 37 % 1009, f"k{i}") for i in range(1000) for g in ([0.0] if i % 3 else [1.0, None])]
+    frame = spark.createDataFrame(rows, "g double, h int, k string").repartition(6)
+    wanted = {0.0: 133, 1.0: 7, None: 334}
+    found = sorted(map(tuple, first_in_group(frame, "g", ["h", "k"], wanted).collect()), key=str)
+    expected = [r for g, n in wanted.items() for r in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:])[:n]]
+    assert found == sorted(expected, key=str)

@@ -3,8 +3,10 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import duckdb
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tradewind.functions import text
@@ -192,15 +194,27 @@ def reviews(spark, n=400):
     )
 
 
-def test_sentiment_run(spark):
-    corpus = reviews(spark)
-    orders = corpus.select(
+def orders_of(corpus):
+    return corpus.select(
         "order_id",
         F.lit("SP").alias("customer_state"),
         (F.col("review_score") <= 2).alias("is_late_delivery"),
         F.lit(5).alias("delivery_days"),
         F.lit(10).cast("decimal(12,2)").alias("order_total"),
     )
+
+
+def observe_something(spark):
+    """After this the session holds an observation manager, which cannot travel to executors."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+
+
+def test_sentiment_run_after_an_observation(spark):
+    observe_something(spark)
+    corpus = reviews(spark)
+    orders = orders_of(corpus)
     with pytest.raises(RuntimeError, match="at least 500"):
         sentiment.run(corpus, orders)
     run = sentiment.run(corpus, orders, min_rows=100)
@@ -213,29 +227,62 @@ def test_sentiment_run(spark):
     positive = {r.term for r in terms if r.direction == "positive"}
     negative = {r.term for r in terms if r.direction == "negative"}
     assert "otimo" in positive and "ruim" in negative
+    assert run.tables["sentiment_model_metrics"].first()["holdout_rows"] == 64  # a fifth of 160 rows of each label
+
+
+def test_scores_equal_sql_over_the_model_table(spark, tmp_path):
+    """The saved model and plain SQL in another engine give every review the probability of the run."""
+    corpus = reviews(spark)
+    run = sentiment.run(corpus, orders_of(corpus), min_rows=100)
+    run.tables["sentiment_model_terms"].write.parquet(str(tmp_path / "model"))
+    corpus.write.parquet(str(tmp_path / "reviews"))
+    run.tables["review_sentiment"].write.parquet(str(tmp_path / "scored"))
+    rows = duckdb.sql(f"""
+        with r as (select order_id, trim(regexp_replace(lower(review_comment_message), '[^a-z]+', ' ', 'g')) as t from '{tmp_path}/reviews/*.parquet'),
+        w as (select order_id, list_filter(string_split(t, ' '), lambda x: length(x) >= 2) as ws, string_split(t, ' ') as every from r),
+        words as (select order_id, 'words' as block, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as term from w),
+        padded as (select order_id, ' ' || unnest(every) || ' ' as p from w),
+        chars as (select order_id, 'chars' as block, substring(p, i::int, n) as term from padded cross join (values (3), (4), (5)) as v(n)
+                  cross join lateral (select unnest(range(1, length(p) - n + 2)) as i)),
+        counted as (select order_id, block, term, count(*) as n from (from words union all from chars) group by all),
+        valued as (select order_id, block, (1 + ln(n)) * idf as value, weight from counted join '{tmp_path}/model/*.parquet' using (block, term)),
+        blocks as (select order_id, sum(value * weight) / sqrt(sum(value * value)) as part from valued group by order_id, block),
+        margins as (select order_id, coalesce(sum(part), 0) + (select weight from '{tmp_path}/model/*.parquet' where block = 'intercept') as m from r left join blocks using (order_id) group by order_id)
+        select count(*), max(abs(1 / (1 + exp(-m)) - sentiment_probability)) from margins join '{tmp_path}/scored/*.parquet' using (order_id)""").fetchall()[0]
+    assert rows[0] == 400 and rows[1] < 0.000051
 
 
 def test_tfidf_weights_against_brute_force(spark):
     rows = [("aa bb aa",), ("aa cc",), ("aa bb",), ("bb cc cc",), ("cc aa",)]
-    frame = spark.createDataFrame(rows, "clean_text string")
-    vocabulary = sentiment.Vocabulary.fit(frame)
-    counted = vocabulary.count(frame)
-    idf = {name: sentiment.smoothed_idf(counted, name) for name in sentiment.BLOCKS}
-    words = vocabulary.blocks["words"].vocabulary
-    assert set(words) == {"aa", "bb", "cc"}
-    for row in sentiment.weigh(counted, idf).collect():
-        tokens = row.clean_text.split()
+    frame = spark.createDataFrame([(f"o{i}", t, t) for i, (t,) in enumerate(rows)], "order_id string, clean_text string, kept string")
+    known = sentiment.vocabulary(sentiment.term_rows(frame), len(rows)).cache()
+    place = {r["term"]: r["index"] for r in known.filter("block = 'words'").collect()}
+    assert set(place) == {"aa", "bb", "cc"}
+    for row in sentiment.features(frame, known).collect():
+        held = dict(zip(row.features["indices"], row.features["values"], strict=True))
+        tokens = row.kept.split()
         raw = {}
         for term in set(tokens):
             df = sum(term in other[0].split() for other in rows)
             raw[term] = (1 + math.log(tokens.count(term))) * (math.log((1 + len(rows)) / (1 + df)) + 1)
         norm = math.sqrt(sum(v * v for v in raw.values()))
         for term, weight in raw.items():
-            assert row.features[words.index(term)] == pytest.approx(weight / norm)
+            assert held[place[term]] == pytest.approx(weight / norm)
+
 
+def test_reviews_without_known_terms_get_the_intercept(spark):
+    frame = spark.createDataFrame([("a", "zz"), ("b", "")], "order_id string, clean_text string")
+    known = spark.createDataFrame([("words", "aa", 3, 3, 1.0, 0)], "block string, term string, occurrences long, documents long, idf double, index int")
+    weights = spark.createDataFrame([(0, 2.0)], "index int, weight double")
+    model = sentiment.model_table(known, weights, -1.0)
+    scored = sentiment.score(sentiment.features(frame, known), model).collect()
+    assert {r["sentiment_probability"] for r in scored} == {1 / (1 + math.exp(1.0))}
 
-def test_holdout_keeps_label_shares(spark):
-    frame = spark.range(20_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 4 == 0).alias("label"))
-    shares = frame.groupBy("label").agg(F.avg(sentiment.in_holdout(F.col("k"), 42, 0.2).cast("int")).alias("s"))
-    assert all(abs(r.s - 0.2) < 0.02 for r in shares.collect())
 
+def test_holdout_is_exact_for_each_label(spark):
+    frame = spark.range(20_003).select(F.col("id").cast("string").alias("order_id"), (F.col("id") % 4 == 0).cast("double").alias("label"))
+    split = sentiment.with_holdout(frame)
+    rows = {r["label"]: (r["n"], r["held"]) for r in split.groupBy("label").agg(F.count("*").alias("n"), F.count_if("held_out").alias("held")).collect()}
+    assert rows == {0.0: (15_002, 3000), 1.0: (5001, 1000)}
+    again = sentiment.with_holdout(frame.repartition(5))
+    assert split.filter("held_out").select("order_id").exceptAll(again.filter("held_out").select("order_id")).count() == 0

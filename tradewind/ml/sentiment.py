@@ -1,29 +1,25 @@
-"""Review text sentiment, trained on star ratings as weak labels."""
+"""Review text sentiment, trained on star ratings as weak labels.
+
+A fitted model is a table: one row per term with its block, inverse document frequency and weight,
+and one row for the intercept. Scoring joins counted terms with it and sums, so nothing of the
+training session is needed, and SQL over the same table gives the same scores.
+"""
 
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+import math
 
-import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (
-    IDF,
-    CountVectorizer,
-    CountVectorizerModel,
-    ElementwiseProduct,
-    Normalizer,
-    VectorAssembler,
-)
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions import text
 from tradewind.functions.rules import c
 from tradewind.ml.common import ModelRun
+from tradewind.operators.global_order import first_in_group
 from tradewind.session import materialise, scratch_path
 
 log = logging.getLogger(__name__)
@@ -34,6 +30,9 @@ MAX_FEATURES, MIN_DOCUMENTS = 40_000, 3
 INVERSE_PENALTY = 4.0
 MAX_ITERATIONS = 2_000
 POSITIVE_FROM, NEGATIVE_TO = 0.6, 0.4
+SEED, TEST_SHARE = 42, 0.2
+INTERCEPT = "intercept"
+BLOCKS = {"words": text.word_ngrams, "chars": text.char_ngrams}
 
 
 def corpus(stg_order_reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
@@ -57,102 +56,157 @@ def weak_labels(reviews: DataFrame) -> DataFrame:
     )
 
 
-def in_holdout(key: Column, seed: int, share: float) -> Column:
-    """A fixed pseudo-random share of the keys. Labels play no part in the hash, so each label is
-    split in the same proportion without ordering its rows."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+def with_holdout(labelled: DataFrame, key: str = "order_id", seed: int = SEED, share: float = TEST_SHARE) -> DataFrame:
+    """Add ``held_out``: of each label exactly round(share * rows), those with the smallest hash of the (unique) key."""
+    keys = materialise(labelled.select("label", key, F.md5(F.concat_ws(":", c(key), F.lit(seed))).alias("_hash")), "split_keys")
+    wanted = {r["label"]: math.floor(share * r["count"] + 0.5) for r in keys.groupBy("label").count().collect()}
+    chosen = first_in_group(keys, "label", ["_hash", key], wanted).select(key, F.lit(True).alias("held_out"))
+    return labelled.join(materialise(chosen, "holdout"), key, "left").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
 
 
-BLOCKS = {"words": text.word_ngrams, "chars": text.char_ngrams}
+def term_rows(reviews: DataFrame, blocks: tuple[str, ...] = tuple(BLOCKS), key: str = "order_id") -> DataFrame:
+    """``block``, ``term`` and count ``n`` of each review. Texts are dealt by review once; counting needs no
+    further shuffle, and the rows, many times the text, are never moved or written."""
 
+    def named(block: str, term: Column) -> Column:
+        return F.struct(F.lit(block).alias("block"), term.alias("term"))
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """The terms of each block: at most 40,000, each in three training reviews or more."""
+    def grams(block: str) -> Column:
+        return F.transform(BLOCKS[block](c("clean_text")), lambda t: named(block, t))
 
-    blocks: dict[str, CountVectorizerModel]
+    dealt = reviews.select(key, "clean_text").repartition(key)
+    each = dealt.select(key, F.explode(F.concat(*map(grams, blocks))).alias("t")).select(key, "t.block", "t.term")
+    return each.groupBy(key, "block", "term").agg(F.count("*").alias("n"))
 
-    @classmethod
-    def fit(cls, reviews: DataFrame) -> Vocabulary:
-        grams = materialise(
-            reviews.select(*[make(c("clean_text")).alias(f"_{name}") for name, make in BLOCKS.items()]), "grams"
-        )
-        return cls(
-            {
-                name: CountVectorizer(
-                    inputCol=f"_{name}", outputCol=name, vocabSize=MAX_FEATURES, minDF=float(MIN_DOCUMENTS)
-                ).fit(grams)
-                for name in BLOCKS
-            }
-        )
 
-    def count(self, reviews: DataFrame) -> DataFrame:
-        """``reviews`` with one sparse vector of 1 + ln(count) per block, written once for all uses.
-
-        The logarithm is taken on the vector's stored fields; they are read back as vectors.
-        """
-        counted = reviews
-        for name, make in BLOCKS.items():
-            grams = counted.withColumn(f"_{name}", make(c("clean_text")))
-            counted = self.blocks[name].transform(grams).drop(f"_{name}")
-        counted = materialise(counted, "raw_counts")
-        fields = {name: F.unwrap_udt(name) for name in BLOCKS}
-        damped = counted.withColumns(
-            {
-                name: F.struct(
-                    stored["type"].alias("type"),
-                    stored["size"].alias("size"),
-                    stored["indices"].alias("indices"),
-                    F.transform(stored["values"], lambda n: F.log(n) + 1.0).alias("values"),
-                )
-                for name, stored in fields.items()
-            }
-        )
-        path = scratch_path(reviews.sparkSession, "counts")
-        damped.write.parquet(path)
-        unnamed = T.StructType([T.StructField(f.name, f.dataType) for f in counted.schema.fields])
-        return reviews.sparkSession.read.schema(unnamed).parquet(path)
+def vocabulary(terms: DataFrame, reviews: int) -> DataFrame:
+    """The terms of each block that stand in three reviews or more, the 40,000 commonest at most, with their
+    smoothed inverse document frequency and place ``index`` among all features."""
+    known = terms.groupBy("block", "term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("documents"))
+    order = Window.partitionBy("block").orderBy(c("occurrences").desc(), "term")
+    placed = known.filter(c("documents") >= MIN_DOCUMENTS).withColumn("place", F.row_number().over(order))
+    offset = F.element_at(F.create_map(*[F.lit(x) for i, b in enumerate(BLOCKS) for x in (b, i * MAX_FEATURES)]), c("block"))
+    idf = F.log(F.lit(1.0 + reviews) / (1.0 + c("documents"))) + 1.0
+    return placed.filter(c("place") <= MAX_FEATURES).select(
+        "block", "term", "occurrences", "documents", idf.alias("idf"), (offset + c("place") - 1).alias("index")
+    )
 
 
-def smoothed_idf(counted: DataFrame, block: str) -> np.ndarray:
-    """ln((1 + documents) / (1 + documents with the term)) + 1, one value per term."""
-    frequencies = IDF(inputCol=block, outputCol="_unused").fit(counted)
-    return np.log((1.0 + frequencies.numDocs) / (1.0 + np.asarray(frequencies.docFreq, dtype=float))) + 1.0
+def features(reviews: DataFrame, words: DataFrame, key: str = "order_id") -> DataFrame:
+    """``reviews`` without text but with ``features``: (1 + ln n) * idf of each term, each block scaled to length one.
 
+    ``words`` is a vocabulary, so it has a bounded number of rows. ``features`` is laid out as the stored form of a sparse vector."""
+    value = (F.log("n") + 1.0) * c("idf")
+    weighed = term_rows(reviews, key=key).join(F.broadcast(words.select("block", "term", "index", "idf")), ["block", "term"])
+    weighed = weighed.select(key, "block", "index", value.alias("value"))
+    norms = {b: F.sqrt(F.sum(F.when(c("block") == b, c("value") * c("value")))) for b in BLOCKS}
+    entry = F.struct("index", "value")
+    held = weighed.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"), *[n.alias(f"_{b}") for b, n in norms.items()])
 
-def weigh(counted: DataFrame, idf: dict[str, np.ndarray]) -> DataFrame:
-    """Add ``features``: each block weighted (1 + ln tf) * idf and scaled to length one."""
-    for name in BLOCKS:
-        weight = ElementwiseProduct(
-            scalingVec=Vectors.dense(idf[name]), inputCol=name, outputCol=f"_{name}_weighted"
-        )
-        unit = Normalizer(p=2.0, inputCol=f"_{name}_weighted", outputCol=f"_{name}_unit")
-        counted = unit.transform(weight.transform(counted)).drop(f"_{name}_weighted")
-    joined = VectorAssembler(inputCols=[f"_{name}_unit" for name in BLOCKS], outputCol="features")
-    featured = joined.transform(counted).drop(*joined.getInputCols())
-    return featured.withMetadata("features", {})  # without a description of 80,000 columns
+    def scaled(e: Column) -> Column:
+        return e["value"] / F.when(e["index"] < MAX_FEATURES, c("_words")).otherwise(c("_chars"))
+
+    empty = F.array().cast("array<struct<index:int,value:double>>")
+    joined = reviews.drop("clean_text").join(held, key, "left").withColumn("_entries", F.coalesce("_entries", empty))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(len(BLOCKS) * MAX_FEATURES).alias("size"),
+        F.transform("_entries", lambda e: e["index"]).alias("indices"),
+        F.transform("_entries", scaled).alias("values"),
+    )
+    return joined.withColumn("features", vector).drop("_entries", *[f"_{b}" for b in BLOCKS])
 
 
-def fit_classifier(featured: DataFrame) -> LogisticRegressionModel:
-    """Logistic regression with balanced classes; the penalty matches an inverse strength of 4."""
-    counts = {row["label"]: row["count"] for row in featured.groupBy("label").count().collect()}
+def fit_weights(training: DataFrame) -> tuple[DataFrame, float]:
+    """``index`` and ``weight`` of each feature, and the intercept: logistic regression with balanced classes; the
+    penalty matches an inverse strength of 4. ``training`` has ``label`` and ``features``."""
+    spark = training.sparkSession
+    counts = {row["label"]: row["count"] for row in training.groupBy("label").count().collect()}
     rows = sum(counts.values())
     balanced = F.when(c("label") == 1.0, rows / (2.0 * counts.get(1.0, rows))).otherwise(
         rows / (2.0 * counts.get(0.0, rows))
     )
-    table = materialise(featured.select("label", "features", balanced.alias("weight")), "training")
-    return LogisticRegression(
+    path = scratch_path(spark, "training")
+    training.select("label", "features", balanced.alias("weight")).write.parquet(path)
+    stored = T.StructType().add("label", T.DoubleType()).add("features", VectorUDT()).add("weight", T.DoubleType())
+    fitted = LogisticRegression(
         weightCol="weight",
         regParam=1.0 / (INVERSE_PENALTY * rows),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=MAX_ITERATIONS,
-    ).fit(table)
+    ).fit(spark.read.schema(stored).parquet(path))
+    weights = [(i, w) for i, w in enumerate(fitted.coefficients.toArray().tolist()) if w]
+    return spark.createDataFrame(weights, "index int, weight double"), float(fitted.intercept)
+
+
+def model_table(words: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
+    """The model: ``block``, ``term``, ``index``, ``idf`` and ``weight``; the intercept is a block of its own."""
+    spark = words.sparkSession
+    terms = words.join(weights, "index").select("block", "term", "index", "idf", "weight")
+    return terms.union(spark.createDataFrame([(INTERCEPT, "", -1, 0.0, intercept)], terms.schema))
+
+
+def score(featured: DataFrame, model: DataFrame, key: str = "order_id") -> DataFrame:
+    """``featured`` without features but with ``margin`` and ``sentiment_probability``: one join with the weights
+    (bounded by the vocabulary) and one sum per review."""
+    pair = F.arrays_zip(c("features.indices").alias("index"), c("features.values").alias("value"))
+    entries = featured.select(key, F.explode(pair).alias("e")).select(key, "e.index", "e.value")
+    weights = F.broadcast(model.filter(c("block") != INTERCEPT).select("index", "weight"))
+    sums = entries.join(weights, "index").groupBy(key).agg(F.sum(c("value") * c("weight")).alias("_sum"))
+    start = model.filter(c("block") == INTERCEPT).select("weight").scalar()
+    scored = featured.drop("features").join(sums, key, "left").withColumn("margin", F.coalesce("_sum", F.lit(0.0)) + start)
+    return scored.withColumn("sentiment_probability", 1.0 / (1.0 + F.exp(-c("margin")))).drop("_sum")
+
+
+# ----------------------------------------------------------- a baseline without training
+def log_odds(terms: DataFrame, labelled: DataFrame, key: str = "order_id") -> DataFrame:
+    """A model table from counts alone: of each word of the vocabulary how much likelier a positive review holds it.
+
+    ``terms`` are the rows of the training reviews, ``labelled`` their labels. Weights are rounded, so that sums are exact."""
+    sizes = labelled.agg(F.count_if(c("label") == 1.0).alias("p"), F.count_if(c("label") == 0.0).alias("n")).first()
+    held = terms.join(labelled.select(key, "label"), key).groupBy("block", "term").agg(
+        F.sum("n").alias("occurrences"),
+        F.count("*").alias("documents"),
+        F.count_if(c("label") == 1.0).alias("positive"),
+    )
+    order = Window.partitionBy("block").orderBy(c("occurrences").desc(), "term")
+    held = held.filter(c("documents") >= MIN_DOCUMENTS).withColumn("place", F.row_number().over(order))
+    share = lambda hits, total: (hits + 1) / F.lit(float(total + 2))
+    odds = F.log(share(c("positive"), sizes["p"])) - F.log(share(c("documents") - c("positive"), sizes["n"]))
+    rows = held.filter(c("place") <= MAX_FEATURES).select("block", "term", "documents", "positive", exact(odds).alias("weight"))
+    prior = math.log((sizes["p"] + 1) / (sizes["n"] + 1))
+    last = terms.sparkSession.createDataFrame([(INTERCEPT, "", sizes["p"] + sizes["n"], sizes["p"], prior)], "block string, term string, documents long, positive long, weight double")
+    return rows.union(last.withColumn("weight", exact(c("weight"))))
+
+
+def exact(value: Column) -> Column:
+    return F.round(value, 6).cast("decimal(12,6)")
+
+
+def score_presence(reviews: DataFrame, terms: DataFrame, model: DataFrame, key: str = "order_id") -> DataFrame:
+    """``reviews`` with ``sentiment_probability`` from the weights of the terms that each holds."""
+    weights = F.broadcast(model.filter(c("block") != INTERCEPT).select("block", "term", "weight"))
+    sums = terms.join(weights, ["block", "term"]).groupBy(key).agg(F.sum("weight").alias("_sum"))
+    start = model.filter(c("block") == INTERCEPT).select("weight").scalar()
+    margin = (F.coalesce("_sum", F.lit(0)) + start).cast("double")
+    scored = reviews.drop("clean_text").join(sums, key, "left").withColumn("margin", F.greatest(F.lit(-30.0), F.least(F.lit(30.0), margin)))
+    return scored.withColumn("sentiment_probability", 1.0 / (1.0 + F.exp(-c("margin")))).drop("_sum")
+
+
+def baseline(stg_order_reviews: DataFrame, fact_orders: DataFrame) -> ModelRun:
+    """The outputs of the log-odds baseline: word weights and the verdict on each review."""
+    reviews = materialise(corpus(stg_order_reviews, fact_orders).hint("rebalance"), "corpus")
+    labelled = with_holdout(weak_labels(reviews).select("order_id", "label"))
+    training = materialise(labelled.filter(~c("held_out")), "training_keys")
+    terms = materialise(term_rows(reviews, ("words",)), "words")
+    model = materialise(log_odds(terms, training), "log_odds")
+    return ModelRun({"log_odds": model, "review_sentiment": sentiments(score_presence(reviews, terms, model))})
 
 
 def quality(scored: DataFrame) -> dict[str, float]:
-    """Accuracy, precision, recall, F1 and ROC AUC of ``prediction`` against ``label``."""
-    hit, truth = c("prediction") == 1.0, c("label") == 1.0
+    """Accuracy, precision, recall, F1 and ROC AUC of the sign of ``margin`` against ``label``."""
+    hit, truth = c("margin") > 0, c("label") == 1.0
     row = scored.agg(
         F.count("*").alias("n"),
         F.count_if(hit & truth).alias("tp"),
@@ -162,7 +216,7 @@ def quality(scored: DataFrame) -> dict[str, float]:
     tp, fp, fn, n = row["tp"], row["fp"], row["fn"], row["n"]
     precision = tp / (tp + fp) if tp + fp else 0.0
     recall = tp / (tp + fn) if tp + fn else 0.0
-    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction").evaluate(scored)
+    auc = BinaryClassificationEvaluator(rawPredictionCol="margin", numBins=0).evaluate(scored)
     return {
         "accuracy": (n - fp - fn) / n if n else 0.0,
         "precision": precision,
@@ -212,19 +266,16 @@ def top_terms(coefficients: DataFrame, n: int = 25) -> DataFrame:
     )
 
 
-def word_coefficients(vocabulary: Vocabulary, classifier: LogisticRegressionModel, spark: SparkSession) -> DataFrame:
+def word_coefficients(model: DataFrame) -> DataFrame:
     """(term, coefficient) of the word block, at most 40,000 rows."""
-    terms = vocabulary.blocks["words"].vocabulary
-    weights = classifier.coefficients.toArray()[: len(terms)]
-    rows = [(term, round(float(weight), 4)) for term, weight in zip(terms, weights)]
-    return spark.createDataFrame(rows, "term string, coefficient double")
+    return model.filter(c("block") == "words").select("term", F.round("weight", 4).alias("coefficient"))
 
 
 def run(
     stg_order_reviews: DataFrame,
     fact_orders: DataFrame,
-    seed: int = 42,
-    test_size: float = 0.2,
+    seed: int = SEED,
+    test_size: float = TEST_SHARE,
     min_rows: int = MIN_TRAINING_ROWS,
 ) -> ModelRun:
     spark = fact_orders.sparkSession
@@ -233,32 +284,26 @@ def run(
     size = weak_labels(reviews).agg(F.count("*"), F.avg("label")).first()
     if size[0] < min_rows:
         raise RuntimeError(f"only {size[0]} labelled reviews, training needs at least {min_rows}")
-    held_out = in_holdout(c("order_id"), seed, test_size)
-    vocabulary = Vocabulary.fit(weak_labels(reviews).filter(~held_out))
-    counted = vocabulary.count(reviews)
-    training = weak_labels(counted).filter(~held_out)
-    idf = {name: smoothed_idf(training, name) for name in BLOCKS}
-    classifier = fit_classifier(weigh(training, idf))
-    # Each transformer writes its own table, so that no stage carries more than one model.
-    featured = materialise(weigh(counted, idf), "featured")
-    scored = materialise(
-        classifier.transform(featured)
-        .withColumn("sentiment_probability", vector_to_array("probability")[1])
-        .drop("clean_text", "features", "probability", *BLOCKS),
-        "scored",
-    )
-    holdout = weak_labels(scored).filter(held_out)
-    figures = quality(holdout)
+    labelled = with_holdout(weak_labels(reviews).select("order_id", "label"), seed=seed, share=test_size)
+    labelled = materialise(labelled, "labels")
+    training = labelled.filter(~c("held_out"))
+    training_rows = training.count()
+    texts = reviews.join(training.select("order_id"), "order_id")
+    words = materialise(vocabulary(term_rows(texts), training_rows), "vocabulary")
+    featured = materialise(features(reviews, words), "featured")
+    weights, intercept = fit_weights(featured.select("order_id", "features").join(training, "order_id"))
+    model = materialise(model_table(words, weights, intercept), "model")
+    scored = materialise(score(featured, model), "scored")
+    figures = quality(scored.join(labelled.filter("held_out"), "order_id"))
     if figures["roc_auc"] >= SUSPICIOUS_AUC:
         log.warning("ROC AUC of %.4f is implausible for free text, check for leakage", figures["roc_auc"])
-    holdout_rows = holdout.count()
     output = sentiments(scored)
     metrics = spark.createDataFrame(
         [
             (
                 "tfidf_logreg",
-                size[0] - holdout_rows,
-                holdout_rows,
+                training_rows,
+                size[0] - training_rows,
                 round(size[1], 4),
                 *[round(figures[k], 4) for k in ("accuracy", "precision", "recall", "f1", "roc_auc")],
             )
@@ -270,7 +315,8 @@ def run(
         {
             "review_sentiment": output,
             "sentiment_model_metrics": metrics,
-            "sentiment_top_terms": top_terms(word_coefficients(vocabulary, classifier, spark)),
+            "sentiment_top_terms": top_terms(word_coefficients(model)),
+            "sentiment_model_terms": model,
         },
         {"reviews_scored": output.count(), **{k: round(v, 4) for k, v in figures.items()}},
     )

@@ -99,3 +99,20 @@ def with_rank_desc(df: DataFrame, value: str, new: str) -> DataFrame:
     ranked = df.join(ranks, value, "left")
     top_of_nulls = df.agg((F.count(value) + 1).cast("int")).scalar()
     return ranked.select(*df.columns, F.coalesce(F.col(new), top_of_nulls).alias(new))
+
+
+def first_in_group(df: DataFrame, group: str, order: list[str], wanted: dict) -> DataFrame:
+    """The first ``wanted[value]`` rows of each group in the given order, exactly, however large a group is.
+
+    Rows are sorted into ranges and written; counts per range and group (never more rows than tasks and
+    groups together) tell where each range's share of a group begins. ``order`` must tell rows of a group apart.
+    """
+    ranges = _sorted_ranges(df, F.col(group), *[F.col(o) for o in order])
+    tallies = ranges.groupBy("_range", group).agg(F.count("*").alias("_n"), F.min("_row").alias("_from"))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tallies.select(
+        F.col("_range").alias("_r"), F.col(group).alias("_g"), "_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    limit = reduce(lambda held, item: held.when(F.col(group).eqNullSafe(F.lit(item[0])), item[1]), wanted.items(), F.when(F.lit(False), 0))
+    placed = ranges.join(F.broadcast(offsets), (F.col("_range") == F.col("_r")) & F.col(group).eqNullSafe(F.col("_g")))
+    return placed.filter(F.col("_offset") + F.col("_row") - F.col("_from") < limit.otherwise(0)).select(*df.columns)
