@@ -17,13 +17,21 @@ from pyspark.sql import functions as F
 
 from tradewind.session import materialise
 
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Rows go to Python workers in batches of about so many bytes; by default a batch of long texts is far larger,
+# and both sides hold it.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # A table of a few numbers a row is sent to every executor up to so many rows (about 32 MB).
 SENT_ROWS = 2_000_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set(BATCH_BYTES, "4m")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -31,6 +39,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again; the shuffle files that the write needed
     go when it is done, since nothing reads them afterwards."""
     conf = df.sparkSession.conf
+    small_batches(df.sparkSession)
     before = conf.get(SHUFFLE_CLEANUP, "false")
     conf.set(SHUFFLE_CLEANUP, "true")
     try:
