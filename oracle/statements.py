@@ -50,6 +50,50 @@ EXTRA = {
         where t.ds > (select max(ds) - 90 from sql_series)""",
     "sql_clean": f"select doc_id, {_CLEAN} as clean_text from documents",
     "sql_tokens": "select doc_id, list_filter(string_split(clean_text, ' '), lambda w: length(w) >= 2) as ws from sql_clean",
+    "sql_review_text": f"""
+        select * from (select *, {_CLEAN.replace("(text)", "(review_comment_message)")} as clean_text from stg_order_reviews
+                       where review_comment_message is not null)
+        join (select order_id, customer_state, is_late_delivery, delivery_days, order_total from fact_orders) using (order_id)
+        where length(clean_text) >= 3""",
+    "sql_split": """
+        select order_id, label, row_number() over (partition by label order by md5(order_id || ':42'), order_id)
+               <= floor(0.2 * count(*) over (partition by label) + 0.5) as held_out
+        from (select order_id, (review_score >= 4)::int::double as label from sql_review_text where review_score <> 3)""",
+    "sql_review_tokens": """
+        select order_id, string_split(clean_text, ' ') as every,
+               list_filter(string_split(clean_text, ' '), lambda w: length(w) >= 2) as ws from sql_review_text""",
+    "sql_review_words": """
+        select order_id, 'words' as block, term, count(*) as n
+        from (select order_id, unnest(ws) as term from sql_review_tokens union all
+              select order_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) from sql_review_tokens)
+        group by all""",
+    "sql_review_chars": """
+        select order_id, 'chars' as block, substring(w, i::int, n) as term, count(*) as n
+        from (select order_id, ' ' || w || ' ' as w from (select order_id, unnest(every) as w from sql_review_tokens) where w <> '')
+        cross join (values (3), (4), (5)) as t(n)
+        cross join lateral (select unnest(range(1, length(w) - n + 2)) as i)
+        group by order_id, term""",
+    "sql_training": "select order_id, label from sql_split where not held_out",
+    "sql_sizes": "select count(*) as all_rows, count(*) filter (label = 1) as p, count(*) filter (label = 0) as n from sql_training",
+    "sql_log_odds": """
+        select block, term, documents, positive,
+               round(ln((positive + 1) / (p + 2)) - ln((documents - positive + 1) / (n + 2)), 6)::decimal(12,6) as weight
+        from (select *, row_number() over (partition by block order by occurrences desc, term) as place
+              from (select block, term, sum(w.n) as occurrences, count(*) as documents, count(*) filter (label = 1) as positive
+                    from sql_review_words w join sql_training using (order_id) group by block, term having count(*) >= 3)), sql_sizes
+        where place <= 40000""",
+    "sql_baseline": """
+        select order_id, review_score, review_creation_date, customer_state, is_late_delivery, delivery_days, order_total, sentiment_probability,
+               predicted_sentiment, rating_sentiment, predicted_sentiment = rating_sentiment as agrees_with_rating
+        from (select *, case when sentiment_probability >= 0.6 then 'positive' when sentiment_probability <= 0.4 then 'negative' else 'neutral' end as predicted_sentiment,
+                     case when review_score >= 4 then 'positive' when review_score <= 2 then 'negative' else 'neutral' end as rating_sentiment
+              from (select r.*, round(1 / (1 + exp(-greatest(-30, least(30, (coalesce(s, 0) + (select round(ln((p + 1) / (n + 1)), 6)::decimal(12,6) from sql_sizes))::double)))), 4) as sentiment_probability
+                    from sql_review_text r left join (select order_id, sum(weight) as s from sql_review_words join sql_log_odds using (block, term) group by 1) using (order_id)))""",
+    "sql_baseline_summary": f"""
+        select predicted_sentiment, rating_sentiment, is_late_delivery, count(*) as review_count,
+               round(avg(sentiment_probability), 4)::decimal(20,4) as avg_probability,
+               {average("review_score", 2, 0)} as avg_review_score
+        from sql_baseline group by 1, 2, 3""",
 }
 _ALL = {**CTES, **EXTRA}
 
@@ -246,6 +290,24 @@ _add("sentiment_corpus", f"""
           where review_comment_message is not null)
     join (select order_id, customer_state, is_late_delivery, delivery_days, order_total from fact_orders) using (order_id)
     where length(clean_text) >= 3 and review_score <> 3""")
+_add("sentiment_split", "select * from sql_split")
+_add("sentiment_vocabulary", """
+    select block, term, occurrences::bigint as occurrences, documents, round(ln((1.0 + all_rows) / (1.0 + documents)) + 1, 6) as idf,
+           (case block when 'words' then 0 else 40000 end + place - 1)::int as index
+    from (select *, row_number() over (partition by block order by occurrences desc, term) as place
+          from (select block, term, sum(g.n) as occurrences, count(*) as documents
+                from (select * from sql_review_words union all select * from sql_review_chars) g join sql_training using (order_id)
+                group by block, term having count(*) >= 3)), sql_sizes
+    where place <= 40000""")
+_add("sentiment_log_odds", """
+    select *, 'catalog' as run_id from sql_log_odds union all
+    select 'intercept', '', all_rows, p, round(ln((p + 1) / (n + 1)), 6)::decimal(12,6), 'catalog' from sql_sizes""")
+_add("sentiment_baseline", "select *, 'catalog' as run_id from sql_baseline")
+_add("serve_sentiment_baseline", "select * from sql_baseline_summary")
+_add("insight_late_reviews_baseline", f"""
+    select late::bigint as late_reviews, negative::bigint as late_negative_reviews, {pct("negative", "late")} as late_negative_pct
+    from (select sum(review_count) filter (is_late_delivery) as late,
+                 coalesce(sum(review_count) filter (is_late_delivery and predicted_sentiment = 'negative'), 0) as negative from sql_baseline_summary)""")
 
 # streaming and incremental
 _add("stream_upsert_users", """

@@ -183,10 +183,10 @@ _runs: dict[tuple, ModelRun] = {}
 
 
 def _model_run(job: Callable[..., ModelRun], *inputs: str):
-    """The saved outputs of one job over a folder; a session runs each job once per folder."""
+    """The saved outputs of one job over a folder; a session runs each job once for the same files."""
 
     def run(spark: SparkSession, sf_dir: str) -> ModelRun:
-        key = (job, spark.sparkContext.applicationId, sf_dir)
+        key = (job, spark.sparkContext.applicationId, market.fingerprint(spark, sf_dir))
         if key not in _runs:
             warehouse = Warehouse.over_market(spark, sf_dir)
             done = job(*(warehouse[name] for name in inputs))
@@ -200,6 +200,7 @@ def _model_run(job: Callable[..., ModelRun], *inputs: str):
 _segmentation = _model_run(segmentation.run, "agg_customer_rfm")
 _forecast = _model_run(forecasting.run, "fact_orders")
 _sentiment = _model_run(sentiment.run, "stg_order_reviews", "fact_orders")
+_baseline = _model_run(sentiment.baseline, "stg_order_reviews", "fact_orders")
 
 
 def _output(job, table: str, then: Callable[[DataFrame], DataFrame] = lambda frame: frame) -> Query:
@@ -223,6 +224,14 @@ QUERIES |= {
         "review_sentiment",
         lambda frame: insights.late_reviews_read_negative(published.sentiment_summary(frame)),
     ),
+    "sentiment_log_odds": _output(_baseline, "log_odds"),
+    "sentiment_baseline": _output(_baseline, "review_sentiment"),
+    "serve_sentiment_baseline": _output(_baseline, "review_sentiment", published.sentiment_summary),
+    "insight_late_reviews_baseline": _output(
+        _baseline,
+        "review_sentiment",
+        lambda frame: insights.late_reviews_read_negative(published.sentiment_summary(frame)),
+    ),
     "insight_forecast_horizon": _output(_forecast, "revenue_forecast_daily", insights.forecast_horizon),
     "insight_forecast_improvement": _output(_forecast, "forecast_model_metrics", insights.forecast_improvement),
     "insight_forecast_months": _output(_forecast, "revenue_forecast_monthly", insights.forecast_months),
@@ -294,6 +303,24 @@ QUERIES["sentiment_corpus"] = _over(
     "fact_orders",
 )
 
+QUERIES["sentiment_split"] = _over(
+    lambda reviews, orders: sentiment.with_holdout(
+        sentiment.weak_labels(sentiment.corpus(reviews, orders)).select("order_id", "label")
+    ),
+    "stg_order_reviews",
+    "fact_orders",
+)
+
+
+def _vocabulary(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+    texts = materialise(sentiment.weak_labels(sentiment.corpus(reviews, orders)).select("order_id", "label", "clean_text"), "texts")
+    training = materialise(sentiment.with_holdout(texts).filter("not held_out"), "training")
+    known = sentiment.vocabulary(sentiment.term_rows(training), training.count())
+    return known.select("block", "term", "occurrences", "documents", F.round("idf", 6).alias("idf"), "index")
+
+
+QUERIES["sentiment_vocabulary"] = _over(_vocabulary, "stg_order_reviews", "fact_orders")
+
 
 # ------------------------------------------------------------------------- streaming
 @query()

@@ -201,6 +201,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Tells one state of a folder of test tables from another by names, sizes and times of its files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{sf_dir}/*.parquet")
+    file = F.concat_ws(" ", "path", "length", F.unix_micros("modificationTime"))
+    return files.agg(F.md5(F.array_join(F.sort_array(F.collect_list(file)), " "))).first()[0]
+
+
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A review for each order, some twice; one in nine names an unknown order. Every fifteenth order quotes one document:
     the stars follow the document's quality label, or else, four times in five, its language.
