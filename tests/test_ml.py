@@ -4,8 +4,8 @@ import datetime as dt
 import math
 
 import duckdb
+import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -68,28 +68,68 @@ def test_names_follow_the_averages_in_any_order(spark):
     assert [first[i] for i in range(4)] == [second[(i + 2) % 4] for i in range(4)]
 
 
-def test_cluster_indices_against_brute_force(spark):
-    points = [((0.0, 0.0), 0), ((0.0, 2.0), 0), ((10.0, 0.0), 1), ((10.0, 4.0), 1), ((30.0, 30.0), 2), ((31.0, 30.0), 2)]
-
-    class Model:
-        def clusterCenters(self):
-            return [(0.0, 1.0), (10.0, 2.0), (30.5, 30.0)]
-
-    frame = spark.createDataFrame([(Vectors.dense(p), k) for p, k in points], ["features", "cluster_id"]).withColumn(
-        "cluster_id", F.col("cluster_id").cast("int")
-    )
-    got = segmentation.separation(frame, Model())
-    centers = Model().clusterCenters()
-    dist = math.dist
-    radius = [sum(dist(p, centers[k]) for p, k in points if k == i) / 2 for i in range(3)]
-    worst = [
-        max((radius[i] + radius[j]) / dist(centers[i], centers[j]) for j in range(3) if j != i) for i in range(3)
-    ]
-    middle = [sum(p[d] for p, _ in points) / 6 for d in (0, 1)]
-    between = sum(2 * dist(center, middle) ** 2 for center in centers)
-    within = sum(dist(p, centers[k]) ** 2 for p, k in points)
-    assert got[0] == pytest.approx(sum(worst) / 3)
-    assert got[1] == pytest.approx((between / 2) / (within / 3))
+def lloyd(points, centers, rounds=300):
+    """Plain rounds of one model: cost and centres."""
+    for _ in range(rounds):
+        gaps = ((points[:, None] - centers[None]) ** 2).sum(axis=2)
+        own = gaps.argmin(axis=1)
+        moved = np.array([points[own == k].mean(axis=0) if (own == k).any() else centers[k] for k in range(len(centers))])
+        if np.sqrt(((moved - centers) ** 2).sum(axis=1)).max() <= segmentation.TOLERANCE:
+            break
+        centers = moved
+    return ((points[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum(), centers
+
+
+def blobs(spark, n=900):
+    rng = np.random.default_rng(3)
+    middles = np.array([[0, 0], [6, 0], [0, 7], [8, 8], [3, 3]])
+    points = middles[rng.integers(5, size=n)] + rng.normal(size=(n, 2))
+    frame = spark.createDataFrame([(f"c{i}", p.tolist()) for i, p in enumerate(points)], "customer_key string, x array<double>")
+    return points, frame.repartition(5).cache()
+
+
+def test_all_models_in_one_pass_equal_separate_fits(spark):
+    points, frame = blobs(spark)
+    rng = np.random.default_rng(1)
+    starts = {i: segmentation.seeded(points, k, rng) for i, k in enumerate((2, 3, 3, 5, 6))}
+    together = segmentation.fit_all(frame, starts)
+    for i, first in starts.items():
+        cost, centers = lloyd(points, first)
+        assert together[i][0] == pytest.approx(cost) and np.allclose(together[i][1], centers)
+
+
+def test_sweep_takes_the_best_start_and_any_layout_gives_the_same(spark):
+    points, frame = blobs(spark)
+    found = segmentation.sweep(frame, range(3, 7), 42, 4)
+    assert segmentation.chosen_k(found) == 5
+    again = segmentation.sweep(frame.repartition(3), range(3, 7), 42, 4)
+    assert [r.inertia for r in found] == pytest.approx([r.inertia for r in again])
+    for r in found:
+        assert r.inertia == pytest.approx(lloyd(points, r.centers, 1)[0])
+
+
+def test_figures_against_brute_force(spark):
+    points, frame = blobs(spark, 200)
+    for centers in (lloyd(points, points[:4])[1], np.vstack([lloyd(points, points[:3])[1], [[90.0, 90.0]]]), np.vstack([points[:1], [[4.0, 4.0]]])):
+        inertia, silhouette, davies_bouldin, calinski_harabasz = segmentation.figures(frame, {7: centers})[7]
+        gaps = ((points[:, None] - centers[None]) ** 2).sum(axis=2)
+        own = gaps.argmin(axis=1)
+        used = sorted(set(own.tolist()))
+        pairs = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+        values = []
+        for i in range(len(points)):
+            same = (own == own[i]).sum()
+            a = pairs[i][own == own[i]].sum() / (same - 1) if same > 1 else 0
+            b = min(pairs[i][own == k].mean() for k in used if k != own[i])
+            values.append((b - a) / max(a, b) if same > 1 else 0)
+        radius = {k: np.sqrt(gaps[own == k, k]).mean() for k in used}
+        worst = [max((radius[i] + radius[j]) / math.dist(centers[i], centers[j]) for j in used if j != i) for i in used]
+        middle = sum((own == k).sum() * centers[k] for k in used) / len(points)
+        between = sum((own == k).sum() * math.dist(centers[k], middle) ** 2 for k in used)
+        within = gaps.min(axis=1).sum()
+        assert inertia == pytest.approx(within) and silhouette == pytest.approx(np.mean(values))
+        assert davies_bouldin == pytest.approx(sum(worst) / len(used))
+        assert calinski_harabasz == pytest.approx(between / (len(used) - 1) / (within / (len(points) - len(used))))
 
 
 def test_segmentation_run(warehouse):

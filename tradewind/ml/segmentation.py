@@ -1,16 +1,18 @@
-"""Customer clusters on the RFM aggregate."""
+"""Customer clusters on the RFM aggregate.
+
+All numbers of clusters and all random starts are fitted together: a round is one aggregation over the
+points, keyed by model and cluster, and models that have settled leave the round. What a round sends out
+is a table of centres, a few per model; what it returns is a row per model and cluster.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+import numpy as np
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradewind.functions.rules import c, decimal, percent, quotient
 from tradewind.ml.common import ModelRun
@@ -21,6 +23,9 @@ REPEAT_THRESHOLD = 1.5
 # Random starts for each number of clusters, and rounds at most in one fit.
 STARTS = 10
 MAX_ITERATIONS = 300
+# A model has settled when no centre moves further than this. A start is chosen from so many points.
+TOLERANCE = 1e-4
+POOL = 2000
 
 # Names of the thirds of the recency and the value ordering.
 RECENCY_TIERS = ("Active", "Cooling", "Dormant")
@@ -28,14 +33,14 @@ VALUE_TIERS = ("High-Value", "Mid-Value", "Low-Value")
 
 
 def features(agg_customer_rfm: DataFrame) -> DataFrame:
-    """The customers with a standardised ``features`` vector of log values, written once."""
+    """The customers with a standardised ``features`` vector of log values, and the same as array ``x``, written once."""
     logs = {f"_{name}": F.log1p(F.greatest(c(name).cast("double"), F.lit(0.0))) for name in FEATURES}
     assembled = VectorAssembler(inputCols=list(logs), outputCol="_raw").transform(
         agg_customer_rfm.withColumns(logs)
     )
     scaler = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)
     scaled = scaler.fit(assembled).transform(assembled)
-    return materialise(scaled.drop("_raw", *logs), "features")
+    return materialise(scaled.drop("_raw", *logs).withColumn("x", vector_to_array("features")), "features")
 
 
 @dataclass(frozen=True)
@@ -45,73 +50,140 @@ class Candidate:
     silhouette: float
     davies_bouldin: float
     calinski_harabasz: float
-    model: KMeansModel
-
-
-def best_fit(points: DataFrame, k: int, seed: int, starts: int) -> KMeansModel:
-    """The lowest-cost model of several random starts, fitted side by side."""
-    fit = lambda start: KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, tol=1e-4).fit(points)
-    with ThreadPool(min(starts, 4)) as pool:
-        fits = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(starts))
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
-
-
-def separation(assigned: DataFrame, model: KMeansModel) -> tuple[float, float]:
-    """Davies-Bouldin and Calinski-Harabasz indices from per-cluster sums.
-
-    One aggregation returns a row per cluster; the rest is arithmetic on k centroids.
-    """
-    centers = [[float(x) for x in center] for center in model.clusterCenters()]
-    table = F.array(*[F.array(*[F.lit(x) for x in center]) for center in centers])
-    gaps = F.zip_with(
-        vector_to_array("features"),
-        F.get(table, c("cluster_id")),
-        lambda a, b: (a - b) * (a - b),
-    )
-    squared = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
-    rows = (
-        assigned.withColumn("_sq", squared)
-        .groupBy("cluster_id")
-        .agg(F.count("*").alias("n"), F.avg(F.sqrt("_sq")).alias("radius"), F.sum("_sq").alias("within"))
-        .collect()
-    )
-    size = {r["cluster_id"]: r["n"] for r in rows}
-    radius = {r["cluster_id"]: r["radius"] for r in rows}
-
-    def apart(a, b) -> float:
-        return sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5
-
-    worst = [
-        max((radius[i] + radius[j]) / (apart(centers[i], centers[j]) or float("inf")) for j in size if j != i)
-        for i in size
-    ]
-    total = sum(size.values())
-    middle = [sum(size[i] * centers[i][d] for i in size) / total for d in range(len(centers[0]))]
-    between = sum(size[i] * apart(centers[i], middle) ** 2 for i in size)
-    within = sum(r["within"] for r in rows)
-    k = len(size)
-    spread = between / (k - 1) / (within / (total - k)) if within else float("inf")
-    return sum(worst) / k, spread
-
-
-def sweep(points: DataFrame, k_range: range, seed: int, starts: int) -> list[Candidate]:
-    evaluator = ClusteringEvaluator(predictionCol="cluster_id", featuresCol="features")
-    candidates = []
-    for k in k_range:
-        model = best_fit(points, k, seed, starts).setPredictionCol("cluster_id")
-        assigned = model.transform(points)
-        davies_bouldin, calinski_harabasz = separation(assigned, model)
-        candidates.append(
-            Candidate(
-                k,
-                float(model.summary.trainingCost),
-                float(evaluator.evaluate(assigned)),
-                davies_bouldin,
-                calinski_harabasz,
-                model,
-            )
-        )
-    return candidates
+    centers: np.ndarray
+
+
+def seeded(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """``k`` of the points as first centres, each new one likelier the further it is from those chosen."""
+    chosen = [points[rng.integers(len(points))]]
+    while len(chosen) < k:
+        gaps = ((points[:, None, :] - np.stack(chosen)[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+        total = gaps.sum()
+        at = rng.choice(len(points), p=gaps / total) if total > 0 else rng.integers(len(points))
+        chosen.append(points[at])
+    return np.stack(chosen)
+
+
+def pool_of(points: DataFrame, key: str, size: int = POOL) -> np.ndarray:
+    """About ``size`` points chosen by a hash of their key, in its order."""
+    rows = points.count()
+    hashed = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    chosen = points.filter(hashed < F.lit(float(1 << 32)) * min(1.0, size / max(rows, 1))).select(hashed.alias("h"), F.col(key).cast("string").alias("k"), "x")
+    found = sorted(chosen.collect()) or sorted(points.select(hashed.alias("h"), F.col(key).cast("string").alias("k"), "x").limit(1).collect())
+    return np.array([r["x"] for r in found])
+
+
+def _literal(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def nearest(models: dict[int, np.ndarray], value: str = "x") -> Column:
+    """An array with, for each model, ``model``, its nearest ``cluster`` and the squared ``distance``; the first of equals.
+
+    Squared distances are |x|^2 - 2 x.c + |c|^2, so that a centre costs one product per coordinate."""
+    dims = len(next(iter(models.values()))[0])
+    x = [F.get(value, F.lit(d)) for d in range(dims)]
+    length = sum((v * v for v in x[1:]), x[0] * x[0])
+
+    def to(center) -> Column:
+        products = sum((x[d] * F.lit(-2.0 * float(center[d])) for d in range(1, dims)), x[0] * F.lit(-2.0 * float(center[0])))
+        return products + F.lit(float((center * center).sum()))
+
+    def of(number: int, centers: np.ndarray) -> Column:
+        gaps = F.array(*[to(center) for center in centers])
+        least = F.array_min(gaps)
+        return F.struct(F.lit(number).alias("model"), (F.array_position(gaps, least) - 1).cast("int").alias("cluster"), F.greatest(least + length, F.lit(0.0)).alias("distance"))
+
+    return F.array(*[of(number, centers) for number, centers in models.items()])
+
+
+def fit_all(points: DataFrame, models: dict[int, np.ndarray], rounds: int = MAX_ITERATIONS) -> dict[int, tuple[float, np.ndarray]]:
+    """Lloyd's rounds over all models at once: cost and centres of each. ``points`` has ``x`` and is a written table."""
+    dims = len(next(iter(models.values()))[0])
+    moving, settled = dict(models), {}
+    sums = [F.sum(F.get("x", F.lit(d))).alias(f"x{d}") for d in range(dims)]
+    costs: dict[int, float] = {}
+    for _ in range(rounds + 1):
+        each = points.select("x", F.explode(nearest(moving)).alias("m"))
+        rows = each.groupBy("m.model", "m.cluster").agg(F.count("*").alias("n"), F.sum("m.distance").alias("cost"), *sums).collect()
+        costs |= {m: sum(r["cost"] for r in rows if r["model"] == m) for m in moving}
+        for number in list(moving):
+            centers = moving[number].copy()
+            for r in rows:
+                if r["model"] == number:
+                    centers[r["cluster"]] = [r[f"x{d}"] / r["n"] for d in range(dims)]
+            moved = np.sqrt(((centers - moving[number]) ** 2).sum(axis=1)).max()
+            if moved <= TOLERANCE:
+                settled[number] = moving.pop(number)
+            else:
+                moving[number] = centers
+        if not moving:
+            break
+    return {m: (costs[m], x) for m, x in (settled | moving).items()}
+
+
+def figures(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[float, float, float, float]]:
+    """Inertia, silhouette (squared Euclidean, all points), Davies-Bouldin and Calinski-Harabasz of several models: two passes.
+
+    With n, s and q the number, sum and sum of squares of a cluster's points, the mean squared distance of x to
+    the cluster is |x|^2 - 2 x.s/n + q/n, so every point's silhouette needs the few rows of the first pass only."""
+    dims = len(next(iter(models.values()))[0])
+    squares = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
+    each = points.select("x", squares.alias("q"), F.explode(nearest(models)).alias("m"))
+    rows = each.groupBy("m.model", "m.cluster").agg(
+        F.count("*").alias("n"), F.sum("q").alias("q"), F.sum("m.distance").alias("within"), F.sum(F.sqrt("m.distance")).alias("radius"),
+        *[F.sum(F.get("x", F.lit(d))).alias(f"x{d}") for d in range(dims)],
+    ).collect()
+    clusters = {m: {r["cluster"]: r for r in rows if r["model"] == m} for m in models}
+
+    def silhouette(number: int) -> Column:
+        held = clusters[number]
+
+        def mean(r, own: bool) -> Column:
+            """Mean squared distance to the points of a cluster; in its own cluster the point itself is left out."""
+            product = sum((F.get("x", F.lit(d)) * F.lit(-2.0 * r[f"x{d}"]) for d in range(1, dims)), F.get("x", F.lit(0)) * F.lit(-2.0 * r["x0"]))
+            return (c("q") * F.lit(float(r["n"])) + product + F.lit(float(r["q"]))) / F.lit(float(max(r["n"] - own, 1)))
+
+        own, gaps = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for k, r in held.items():
+            others = [mean(o, False) for j, o in held.items() if j != k]
+            here = c("m.cluster") == k
+            own = F.when(here, F.lit(0.0) if r["n"] == 1 else F.greatest(mean(r, True), F.lit(0.0))).otherwise(own)
+            gaps = F.when(here, F.greatest(F.least(*others) if len(others) > 1 else others[0] if others else F.lit(0.0), F.lit(0.0))).otherwise(gaps)
+        alone = F.lit(False)
+        for k, r in held.items():
+            if r["n"] == 1:
+                alone = alone | (c("m.cluster") == k)
+        larger = F.greatest(own, gaps)
+        return F.when(alone | (larger == 0), 0.0).otherwise((gaps - own) / larger)
+
+    value = F.coalesce(*[F.when(c("m.model") == m, silhouette(m)) for m in models])
+    averages = {r["model"]: r["s"] for r in each.groupBy("m.model").agg(F.avg(value).alias("s")).collect()}
+    found = {}
+    for m, centers in models.items():
+        held = clusters[m]
+        total = sum(r["n"] for r in held.values())
+        size, radius = {k: r["n"] for k, r in held.items()}, {k: r["radius"] / r["n"] for k, r in held.items()}
+        apart = lambda a, b: float(np.sqrt(((a - b) ** 2).sum()))
+        worst = [max((radius[i] + radius[j]) / (apart(centers[i], centers[j]) or float("inf")) for j in size if j != i) for i in size] if len(size) > 1 else [0.0]
+        middle = sum(n * centers[i] for i, n in size.items()) / total
+        between = sum(n * apart(centers[i], middle) ** 2 for i, n in size.items())
+        within = sum(r["within"] for r in held.values())
+        k = len(size)
+        spread = between / (k - 1) / (within / (total - k)) if within and k > 1 else float("inf")
+        found[m] = (within, averages[m], sum(worst) / k, spread)
+    return found
+
+
+def sweep(points: DataFrame, k_range: range, seed: int, starts: int, key: str = "customer_key") -> list[Candidate]:
+    """The lowest-cost start of each number of clusters, with its figures."""
+    pool = pool_of(points, key)
+    named = [(k, start) for k in k_range for start in range(starts)]
+    models = {i: seeded(pool, k, np.random.default_rng((seed, k, start))) for i, (k, start) in enumerate(named)}
+    fitted = fit_all(points, models)
+    best = {k: min((i for i, (own, _) in enumerate(named) if own == k), key=lambda i: (fitted[i][0], i)) for k in k_range}
+    told = figures(points, {i: fitted[i][1] for i in best.values()})
+    return [Candidate(k, *map(float, told[i]), fitted[i][1]) for k, i in best.items()]
 
 
 def sweep_table(spark: SparkSession, candidates: list[Candidate]) -> DataFrame:
@@ -186,7 +258,8 @@ def run(agg_customer_rfm: DataFrame, k_min: int = 3, k_max: int = 8, seed: int =
         raise RuntimeError("the RFM aggregate is empty, build the analytics layer first")
     candidates = sweep(points, range(k_min, k_max + 1), seed, starts)
     best = next(r for r in candidates if r.k == chosen_k(candidates))
-    assigned = best.model.transform(points)
+    placed = points.withColumn("cluster_id", nearest({0: best.centers})[0]["cluster"]).drop("features", "x")
+    assigned = materialise(placed, "assigned")
     profiles = materialise(label_clusters(profile(assigned)), "profiles")
     everything = Window.partitionBy()
     shares = profiles.select(
