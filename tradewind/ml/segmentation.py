@@ -1,18 +1,20 @@
 """Customer clusters on the RFM aggregate.
 
 All numbers of clusters and all random starts are fitted together: a round is one aggregation over the
-points, keyed by model and cluster, and models that have settled leave the round. What a round sends out
-is a table of centres, a few per model; what it returns is a row per model and cluster.
+points, keyed by model and cluster, and models that have settled leave the round. A round sends out the
+centres, a few per model; a task returns a row per model and cluster.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from tradewind.functions.rules import c, decimal, percent, quotient
 from tradewind.ml.common import ModelRun
@@ -26,6 +28,7 @@ MAX_ITERATIONS = 300
 # A model has settled when no centre moves further than this. A start is chosen from so many points.
 TOLERANCE = 1e-4
 POOL = 2000
+BLOCK = 4096  # points at a time in a task
 
 # Names of the thirds of the recency and the value ordering.
 RECENCY_TIERS = ("Active", "Cooling", "Dormant")
@@ -73,103 +76,127 @@ def pool_of(points: DataFrame, key: str, size: int = POOL) -> np.ndarray:
     return np.array([r["x"] for r in found])
 
 
-def _literal(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def nearest(centers: np.ndarray, value: str = "x") -> Column:
+    """The place of the nearest centre, the first of equals."""
 
+    def to(center) -> Column:
+        gaps = [F.get(value, F.lit(d)) - F.lit(float(v)) for d, v in enumerate(center)]
+        return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
 
-def nearest(models: dict[int, np.ndarray], value: str = "x") -> Column:
-    """An array with, for each model, ``model``, its nearest ``cluster`` and the squared ``distance``; the first of equals.
+    gaps = F.array(*[to(center) for center in centers])
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
 
-    Squared distances are |x|^2 - 2 x.c + |c|^2, so that a centre costs one product per coordinate."""
-    dims = len(next(iter(models.values()))[0])
-    x = [F.get(value, F.lit(d)) for d in range(dims)]
-    length = sum((v * v for v in x[1:]), x[0] * x[0])
 
-    def to(center) -> Column:
-        products = sum((x[d] * F.lit(-2.0 * float(center[d])) for d in range(1, dims)), x[0] * F.lit(-2.0 * float(center[0])))
-        return products + F.lit(float((center * center).sum()))
+SUMS = "model int, cluster int, n long, q double, within double, radius double, sums array<double>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        for start in range(0, len(values), BLOCK):
+            yield values[start : start + BLOCK]
+
+
+def _gaps(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+
 
-    def of(number: int, centers: np.ndarray) -> Column:
-        gaps = F.array(*[to(center) for center in centers])
-        least = F.array_min(gaps)
-        return F.struct(F.lit(number).alias("model"), (F.array_position(gaps, least) - 1).cast("int").alias("cluster"), F.greatest(least + length, F.lit(0.0)).alias("distance"))
+def sums_of(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, dict[int, Row]]:
+    """One pass for all models: of each (model, cluster) the number ``n``, coordinate ``sums`` and sum of squares ``q`` of its
+    points, their squared distances ``within`` and distances ``radius`` in all.
 
-    return F.array(*[of(number, centers) for number, centers in models.items()])
+    Every task adds up its own points and hands on a row per model and cluster."""
+    dims = len(next(iter(models.values()))[0])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {m: np.zeros((len(centers), 4 + dims)) for m, centers in models.items()}
+        for x in _blocks(batches, dims):
+            squares = (x * x).sum(axis=1)
+            for m, centers in models.items():
+                gaps = _gaps(x, centers)
+                own = gaps.argmin(axis=1)
+                least = gaps[np.arange(len(x)), own]
+                columns = (np.ones(len(x)), squares, least, np.sqrt(least), *x.T)
+                held[m] += np.stack([np.bincount(own, v, len(centers)) for v in columns], axis=1)
+        rows = [(m, k, *row) for m, table in held.items() for k, row in enumerate(table) if row[0]]
+        names = ("model", "cluster", "n", "q", "within", "radius")
+        out = {name: [row[i] for row in rows] for i, name in enumerate(names)} | {"sums": [list(row[len(names) :]) for row in rows]}
+        out["n"] = [int(n) for n in out["n"]]
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("model", pa.int32()), ("cluster", pa.int32()), ("n", pa.int64()), *[(c, pa.float64()) for c in names[3:]], ("sums", pa.list_(pa.float64()))]))
+
+    parts = points.select("x").mapInArrow(add, SUMS)
+    coordinates = F.array(*[F.sum(F.get("sums", F.lit(d))) for d in range(dims)]).alias("sums")
+    rows = parts.groupBy("model", "cluster").agg(F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in ("q", "within", "radius")], coordinates)
+    found: dict[int, dict[int, Row]] = {m: {} for m in models}
+    for row in rows.collect():  # a row per model and cluster
+        found[row["model"]][row["cluster"]] = row
+    return found
 
 
 def fit_all(points: DataFrame, models: dict[int, np.ndarray], rounds: int = MAX_ITERATIONS) -> dict[int, tuple[float, np.ndarray]]:
     """Lloyd's rounds over all models at once: cost and centres of each. ``points`` has ``x`` and is a written table."""
-    dims = len(next(iter(models.values()))[0])
     moving, settled = dict(models), {}
-    sums = [F.sum(F.get("x", F.lit(d))).alias(f"x{d}") for d in range(dims)]
-    costs: dict[int, float] = {}
     for _ in range(rounds + 1):
-        each = points.select("x", F.explode(nearest(moving)).alias("m"))
-        rows = each.groupBy("m.model", "m.cluster").agg(F.count("*").alias("n"), F.sum("m.distance").alias("cost"), *sums).collect()
-        costs |= {m: sum(r["cost"] for r in rows if r["model"] == m) for m in moving}
-        for number in list(moving):
-            centers = moving[number].copy()
-            for r in rows:
-                if r["model"] == number:
-                    centers[r["cluster"]] = [r[f"x{d}"] / r["n"] for d in range(dims)]
-            moved = np.sqrt(((centers - moving[number]) ** 2).sum(axis=1)).max()
-            if moved <= TOLERANCE:
-                settled[number] = moving.pop(number)
+        told = sums_of(points, moving)
+        for number, before in list(moving.items()):
+            centers = before.copy()
+            for k, row in told[number].items():
+                centers[k] = np.array(row["sums"]) / row["n"]
+            cost = sum(row["within"] for row in told[number].values())
+            if np.sqrt(((centers - before) ** 2).sum(axis=1)).max() <= TOLERANCE:
+                settled[number] = (cost, moving.pop(number))
             else:
                 moving[number] = centers
         if not moving:
             break
-    return {m: (costs[m], x) for m, x in (settled | moving).items()}
+    return settled | {m: (cost, x) for m, x in moving.items() for cost in [sum(r["within"] for r in sums_of(points, {m: x})[m].values())]}
 
 
-def figures(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[float, float, float, float]]:
-    """Inertia, silhouette (squared Euclidean, all points), Davies-Bouldin and Calinski-Harabasz of several models: two passes.
+def silhouettes(points: DataFrame, models: dict[int, np.ndarray], told: dict[int, dict[int, Row]]) -> dict[int, float]:
+    """Mean silhouette of each model by squared distances over all points.
 
     With n, s and q the number, sum and sum of squares of a cluster's points, the mean squared distance of x to
-    the cluster is |x|^2 - 2 x.s/n + q/n, so every point's silhouette needs the few rows of the first pass only."""
+    it is |x|^2 - 2 x.s/n + q/n, so a point needs the few rows of the pass before and no other point."""
     dims = len(next(iter(models.values()))[0])
-    squares = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
-    each = points.select("x", squares.alias("q"), F.explode(nearest(models)).alias("m"))
-    rows = each.groupBy("m.model", "m.cluster").agg(
-        F.count("*").alias("n"), F.sum("q").alias("q"), F.sum("m.distance").alias("within"), F.sum(F.sqrt("m.distance")).alias("radius"),
-        *[F.sum(F.get("x", F.lit(d))).alias(f"x{d}") for d in range(dims)],
-    ).collect()
-    clusters = {m: {r["cluster"]: r for r in rows if r["model"] == m} for m in models}
-
-    def silhouette(number: int) -> Column:
-        held = clusters[number]
-
-        def mean(r, own: bool) -> Column:
-            """Mean squared distance to the points of a cluster; in its own cluster the point itself is left out."""
-            product = sum((F.get("x", F.lit(d)) * F.lit(-2.0 * r[f"x{d}"]) for d in range(1, dims)), F.get("x", F.lit(0)) * F.lit(-2.0 * r["x0"]))
-            return (c("q") * F.lit(float(r["n"])) + product + F.lit(float(r["q"]))) / F.lit(float(max(r["n"] - own, 1)))
-
-        own, gaps = F.lit(None).cast("double"), F.lit(None).cast("double")
-        for k, r in held.items():
-            others = [mean(o, False) for j, o in held.items() if j != k]
-            here = c("m.cluster") == k
-            own = F.when(here, F.lit(0.0) if r["n"] == 1 else F.greatest(mean(r, True), F.lit(0.0))).otherwise(own)
-            gaps = F.when(here, F.greatest(F.least(*others) if len(others) > 1 else others[0] if others else F.lit(0.0), F.lit(0.0))).otherwise(gaps)
-        alone = F.lit(False)
-        for k, r in held.items():
-            if r["n"] == 1:
-                alone = alone | (c("m.cluster") == k)
-        larger = F.greatest(own, gaps)
-        return F.when(alone | (larger == 0), 0.0).otherwise((gaps - own) / larger)
-
-    value = F.coalesce(*[F.when(c("m.model") == m, silhouette(m)) for m in models])
-    averages = {r["model"]: r["s"] for r in each.groupBy("m.model").agg(F.avg(value).alias("s")).collect()}
+    facts = {m: {k: (row["n"], row["q"], np.array(row["sums"])) for k, row in clusters.items()} for m, clusters in told.items()}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = dict.fromkeys(models, 0.0)
+        for x in _blocks(batches, dims):
+            squares = (x * x).sum(axis=1)
+            for m, centers in models.items():
+                used = sorted(facts[m])
+                n, q, s = (np.array([facts[m][k][i] for k in used]) for i in range(3))
+                all_of = np.maximum(squares[:, None] * n + q - 2 * x @ s.T, 0.0)  # squared distances to all of each cluster
+                own = np.searchsorted(used, _gaps(x, centers).argmin(axis=1))
+                at = np.arange(len(x))
+                within = all_of[at, own] / np.maximum(n[own] - 1, 1)
+                means = all_of / n
+                means[at, own] = np.inf
+                other = means.min(axis=1) if len(used) > 1 else np.zeros(len(x))
+                larger = np.maximum(within, other)
+                usable = (n[own] > 1) & (larger > 0)
+                totals[m] += float(((other - within)[usable] / larger[usable]).sum())
+        yield pa.RecordBatch.from_pydict({"model": pa.array(totals, pa.int32()), "s": pa.array(totals.values(), pa.float64())})
+
+    rows = points.select("x").mapInArrow(add, "model int, s double").groupBy("model").agg(F.sum("s").alias("s")).collect()
+    return {r["model"]: r["s"] / sum(n for n, _, _ in facts[r["model"]].values()) for r in rows}
+
+
+def figures(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[float, float, float, float]]:
+    """Inertia, silhouette, Davies-Bouldin and Calinski-Harabasz of several models in two passes."""
+    told = sums_of(points, models)
+    averages = silhouettes(points, models, told)
+    apart = lambda a, b: float(np.sqrt(((a - b) ** 2).sum()))
     found = {}
     for m, centers in models.items():
-        held = clusters[m]
-        total = sum(r["n"] for r in held.values())
-        size, radius = {k: r["n"] for k, r in held.items()}, {k: r["radius"] / r["n"] for k, r in held.items()}
-        apart = lambda a, b: float(np.sqrt(((a - b) ** 2).sum()))
-        worst = [max((radius[i] + radius[j]) / (apart(centers[i], centers[j]) or float("inf")) for j in size if j != i) for i in size] if len(size) > 1 else [0.0]
+        size = {k: row["n"] for k, row in told[m].items()}
+        radius = {k: row["radius"] / row["n"] for k, row in told[m].items()}
+        total, k = sum(size.values()), len(size)
+        worst = [max((radius[i] + radius[j]) / (apart(centers[i], centers[j]) or float("inf")) for j in size if j != i) for i in size] if k > 1 else [0.0]
         middle = sum(n * centers[i] for i, n in size.items()) / total
         between = sum(n * apart(centers[i], middle) ** 2 for i, n in size.items())
-        within = sum(r["within"] for r in held.values())
-        k = len(size)
+        within = sum(row["within"] for row in told[m].values())
         spread = between / (k - 1) / (within / (total - k)) if within and k > 1 else float("inf")
         found[m] = (within, averages[m], sum(worst) / k, spread)
     return found
@@ -258,7 +285,7 @@ def run(agg_customer_rfm: DataFrame, k_min: int = 3, k_max: int = 8, seed: int =
         raise RuntimeError("the RFM aggregate is empty, build the analytics layer first")
     candidates = sweep(points, range(k_min, k_max + 1), seed, starts)
     best = next(r for r in candidates if r.k == chosen_k(candidates))
-    placed = points.withColumn("cluster_id", nearest({0: best.centers})[0]["cluster"]).drop("features", "x")
+    placed = points.withColumn("cluster_id", nearest(best.centers)).drop("features", "x")
     assigned = materialise(placed, "assigned")
     profiles = materialise(label_clusters(profile(assigned)), "profiles")
     everything = Window.partitionBy()
