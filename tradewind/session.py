@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+# Scratch tables are written once and read a few times: small, and compressed in the heap.
+SCRATCH_CODEC = "zstd"
 
 # Needed whoever made the session: a join splits a crowded key even where that costs a shuffle.
 SKEW = {
@@ -56,14 +57,14 @@ def get_spark(app_name: str = "tradewind", master: str | None = None, **conf: st
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own; a cluster
-    session must name a folder every executor can reach.
+    Only a local session without that setting gets a folder beside its warehouse; a cluster session
+    must name a folder every executor can reach.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tradewind-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tradewind-{spark.sparkContext.applicationId}"
 
@@ -79,5 +80,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     readers, and makes a plan that reads it twice compute it once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", SCRATCH_CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
