@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -66,3 +67,13 @@ def test_versions_and_short_notices(spark):
     }
     found = scanned(spark, list(cases))
     assert {text: found[i]["labels"] for i, text in enumerate(cases)} == cases
+
+
+def test_a_very_long_text_costs_no_more_than_its_words(spark):
+    """200,000 words in one row: every place is found, in time that follows the length."""
+    texts = ["mit license and more words here " * 5_000, ("filler mit license " * 66_000) + "licensed under cc by nc 4 0"]
+    began = time.perf_counter()
+    found = scanned(spark, texts)
+    assert time.perf_counter() - began < 60
+    assert (found[0]["n_words"], found[0]["n_base"], found[0]["last_word"]) == (30_000, 5_000, 29_994)
+    assert found[1]["n_base"] == 66_000 and found[1]["labels"] == "cc-by-nc,mit"

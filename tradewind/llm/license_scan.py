@@ -41,8 +41,6 @@ NOTICES = (
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("proprietary", "all rights reserved"),
 )
-GAP = 2
-COVERED = 0.8  # as GAP, read by the SQL of the earlier rule alone
 NEAR = (0, 1, 2, 5)
 TELLING = "mit apache gnu lesser library affero mozilla cc by sa nc nd creative commons attribution noncommercial noderivatives noderivs sharealike".split()
 NUMBER = "^[0-9]+$"
@@ -88,7 +86,10 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     lowered = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), CAPITALS, SMALL)
     words = df.select(F.col(key).alias("doc_id"), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("w")).withColumn("row", F.monotonically_increasing_id())
     w = F.col("w")
-    grams = words.select("row", "doc_id", "w", F.size(w).cast("long").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(0).cast("long")), windows("w"))).alias("p", "g"))
+    # Hashes stand in a column of their own before they are dealt out: so the explode is compiled, and a row of it
+    # points at the words instead of copying them. The outer form asks no size first, which would hash all words twice.
+    hashed = words.select("row", "doc_id", "w", F.size(w).cast("long").alias("n_words"), F.concat(F.array(F.lit(0).cast("long")), windows("w")).alias("hashes"))
+    grams = hashed.select("row", "doc_id", "w", "n_words", F.posexplode_outer("hashes").alias("p", "g"))
     facts = templates(df.sparkSession)
     known = F.broadcast(facts.select("template", F.size("words").alias("n"), "j", "h"))  # a few hundred rows
     votes = grams.join(known, (F.col("g") == F.col("h")) & ((F.col("p") == 0) == (F.col("template") == -1)))

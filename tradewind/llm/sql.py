@@ -82,47 +82,73 @@ STATEMENTS = {"op6_quality_cascade": OP6, "op11_divergence_audit": OP11}
 
 
 def _license_sql() -> str:
-    """The scan with word pairs joined as strings and every diagonal, span and share in plain SQL."""
-    from tradewind.llm.license_scan import BASE, COVERED, GAP, NOTICES
+    """The scan with word pairs joined as strings and every diagonal, span, edit distance and overlap in plain SQL."""
+    from tradewind.llm.license_scan import BASE, NEAR, NOTICES, TELLING, budget, code
 
-    values = ", ".join(f"({i}, '{label}', '{words}', {str(i < len(BASE)).lower()})" for i, (label, words) in enumerate((*BASE, *NOTICES)))
+    values = []
+    for i, (label, phrase) in enumerate((*BASE, *NOTICES)):
+        words, base = phrase.split(), i < len(BASE)
+        edits = 0 if base else budget(len(words))
+        plain = sum(not (x.isdecimal() and y.isdecimal()) for x, y in zip(words, words[1:], strict=False))
+        least = len(words) - 1 if base else max(1, plain - 2 * edits)
+        values.append(f"({i}, '{label}', {str(base).lower()}, {words}, '{code(words)}', {[w for w in words if w in TELLING]}::VARCHAR[], {edits}, {least})")
+    tried = " UNION ALL ".join(
+        f"SELECT r, template, diagonal, {n} AS near, sum(votes) OVER s AS votes, min(low) OVER s AS start, max(high) OVER s + 1 AS stop FROM diagonals "
+        f"WINDOW s AS (PARTITION BY r, template ORDER BY diagonal RANGE BETWEEN {n} PRECEDING AND {n} FOLLOWING)"
+        for n in NEAR
+    )
     return rf"""
-WITH t AS (
-  SELECT *, len(string_split(words, ' ')) - 1 AS grams, string_split(words, ' ') AS w FROM (VALUES {values}) AS v(template, label, words, base)
+WITH t(template, label, base, words, code, telling, edits, least) AS (
+  VALUES {", ".join(values)}
+), tw AS (
+  SELECT template, unnest(words) AS x, generate_subscripts(words, 1) - 1 AS j FROM t
 ), tg AS (
-  SELECT template, label, base, grams, unnest(range(grams)) AS j, w FROM t
+  SELECT template, j, CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END AS a FROM tw
 ), known AS (
-  SELECT template, label, base, grams, j, w[j + 1] AS a, w[j + 2] AS b FROM tg
+  SELECT * FROM (SELECT template, j, a, lead(a) OVER (PARTITION BY template ORDER BY j) AS b FROM tg) WHERE b IS NOT NULL AND (a <> '#' OR b <> '#')
 ), d AS (
   SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents
 ), p AS (
-  SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS i FROM d
+  SELECT r, i, CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END AS a FROM (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d)
 ), pairs AS (
   SELECT r, i, a, lead(a) OVER (PARTITION BY r ORDER BY i) AS b FROM p
 ), diagonals AS (
-  SELECT r, template, label, base, grams, i - j AS diagonal, count(*) AS votes, min(i) AS low, max(i) + 1 AS high
-  FROM pairs JOIN known USING (a, b) GROUP BY ALL
-), marked AS (
-  SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER s > {GAP} THEN 1 ELSE 0 END AS apart FROM diagonals WINDOW s AS (PARTITION BY r, template ORDER BY diagonal)
-), numbered AS (
-  SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM marked
+  SELECT r, template, i - j AS diagonal, count(*) AS votes, min(i) AS low, max(i) AS high FROM pairs JOIN known USING (a, b) GROUP BY ALL
+), tried AS (
+  {tried}
+), enough AS (
+  SELECT DISTINCT r, template, diagonal, votes, start, stop FROM tried JOIN t USING (template) WHERE votes >= least AND (near = 0 OR NOT base)
+), further AS (
+  SELECT r, template, diagonal, start, stop FROM enough
+  UNION ALL SELECT r, template, diagonal, start, stop + 1 FROM enough JOIN t USING (template) WHERE code LIKE '%##'
 ), spans AS (
-  SELECT r, label, base, grams, sum(votes) AS votes, min(low) AS first, max(high) AS last FROM numbered GROUP BY r, template, label, base, grams, span
-), held AS (
-  SELECT *, CASE WHEN base AND votes >= grams THEN 1.0::DOUBLE
-    WHEN NOT base AND last - first <= 2 * (grams + 1) AND least(votes::DOUBLE / grams, 1) >= {COVERED} THEN least(votes::DOUBLE / grams, 1) END AS share
+  SELECT r, label, base, words, code, edits, telling, start, stop, w[start + 1:stop + 1] AS inside FROM further JOIN t USING (template) JOIN d USING (r)
+), coded AS (
+  SELECT *, len(words) AS n,
+    array_to_string(list_transform(inside, lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' WHEN list_position(words, x) > 0 THEN chr((64 + list_position(words, x))::INT) ELSE '~' END), '') AS own,
+    list_filter(inside, lambda x: list_contains({TELLING}, x)) = telling AS alike
   FROM spans
+), judged AS (
+  SELECT *, levenshtein(own, code) AS off FROM coded WHERE alike
+), held AS (
+  SELECT *, (n - off)::DOUBLE / n AS share FROM judged WHERE off <= edits AND off < n
 ), found AS (
-  SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
-    array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ',') AS base_labels,
-    array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(share) AS score
-  FROM held WHERE share IS NOT NULL GROUP BY r
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    coalesce(list_sort(list_distinct(list(label) FILTER (base))), []) AS bases,
+    list_sort(list_distinct(list({{'rank': off - n, 'off': off, 'start': start, 'stop': stop + 1, 'label': label}}) FILTER (NOT base))) AS every, max(share) AS score
+  FROM held GROUP BY r
+), best AS (
+  SELECT *, CASE WHEN len(every) > 0 THEN list_reduce(list_transform(every, lambda s: [s]), lambda kept, s:
+      CASE WHEN len(list_filter(kept, lambda k: k.start < s[1].stop AND s[1].start < k.stop)) = 0 THEN list_concat(kept, s) ELSE kept END) END AS chosen
+  FROM found
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
-  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
-FROM d LEFT JOIN found USING (r)
+  coalesce(array_to_string(bases, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(bases, coalesce(list_transform(chosen, lambda s: s.label), [])))), ','), '') AS labels,
+  coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN best USING (r)
 """
 
 
