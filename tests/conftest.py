@@ -9,7 +9,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = get_spark("tests", master="local[8]")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = get_spark("tests", master="local[8]", **{"spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("OFF")
     return session
 
