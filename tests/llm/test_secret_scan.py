@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from tradewind.llm import secret_scan
 from tradewind.llm.queries import QUERIES
 
@@ -86,3 +89,31 @@ def test_keys_and_values_of_any_shape(spark):
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame).collect()}
     left = [text for i, (text, value) in enumerate(wanted.items()) if value in clean[i]]
     assert left == []
+
+
+def test_scan_after_an_observation(spark):
+    """A session that has observed something holds a manager that cannot travel; scoring must not need it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    noise = [(i, f"call 4785380592{i:06d} or 10.20.30.40.{i}") for i in range(40)]
+    keys = [(100 + i, f"key AKIA{i:02d}ABCDEFGH{i:02d}XYZW end") for i in range(40)]
+    found = secret_scan.scan(spark.createDataFrame(noise + keys, "doc_id long, text string"))
+    assert {r["doc_id"] for r in found.where("secret").collect()} == {i for i, _ in keys}
+
+
+def test_issued_keys_without_a_forest(spark):
+    """Without harmless findings no forest can be fitted; sure secrets are secrets all the same."""
+    key = "AKIA" + "Z2Y3X4W5V6U7T8S9"
+    frame = spark.createDataFrame([(1, f"a {key} b"), (2, "plain text"), (3, None)], "doc_id long, text string")
+    assert [r["secret"] for r in secret_scan.scan(frame).collect()] == [True]
+    assert {r["doc_id"]: r["text"] for r in secret_scan.redact(frame).collect()} == {1: f"a {secret_scan.REDACTED} b", 2: "plain text", 3: None}
+
+
+def test_redaction_of_a_shuffled_table(spark):
+    """Rows are numbered once: the row that is redacted is the row that was read."""
+    key = "AKIA" + "Z2Y3X4W5V6U7T8S9"
+    rows = [(i, f"number {i} " + (f"key {key}" if i % 3 == 0 else "none"), "src", 1) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, row long").repartition(7).orderBy(F.desc("text")).repartition(5)
+    for r in secret_scan.redact(frame).collect():
+        assert r["text"] == f"number {r['doc_id']} " + (f"key {secret_scan.REDACTED}" if r["doc_id"] % 3 == 0 else "none")

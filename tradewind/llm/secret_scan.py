@@ -10,9 +10,9 @@ words beside it. It is trained on labelled findings: a table of ``candidate``, `
 itself by rules that are sure either way (issued key formats and assignments to a secret's name;
 addresses, numbers and words), leaving all others unlabelled; the forest then judges every candidate.
 
-The forest is fitted on at most ``SAMPLE`` findings of each label, chosen by hash. Null text counts
+The forest is fitted on about ``SAMPLE`` findings of each label, chosen by hash. Null text counts
 as empty. Equal candidates in equal surroundings are judged alike, rows one by one. Without
-findings of both labels nothing is a secret. An empty table gives an empty result.
+findings of both labels only sure secrets are secrets. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.text import Words, by_slice, light, released, slices, stored, strings
+from tradewind.session import scratch_path
 
 SAMPLE = 20_000
 DICTIONARY = 20_000
@@ -49,7 +50,7 @@ KINDS = 4  # of characters: small letter, capital, digit, other
 NEAR = 3
 
 
-def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = None) -> DataFrame:
+def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = None, number: str | None = None) -> DataFrame:
     """``doc_id``, ``source``, ``start``, ``end``, ``candidate``, the text ``before`` and ``after`` it on its line, in the order of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +71,7 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
             columns |= {name: pa.array(v, pa.int64() if name in ("start", "end") else pa.string()) for name, v in out.items()}
             yield pa.RecordBatch.from_pydict(columns)
 
-    frame = df.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), (F.col(source).cast("string") if source else F.lit("")).alias("source"), F.col(text).cast("string").alias("text"))
+    frame = df.select((F.col(f"`{number}`") if number else F.monotonically_increasing_id()).alias("row"), F.col(key).alias("doc_id"), (F.col(source).cast("string") if source else F.lit("")).alias("source"), F.col(text).cast("string").alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.mapInArrow(released(run), f"row long, doc_id {kind}, source string, start long, end long, candidate string, before string, after string")
 
@@ -144,7 +145,7 @@ def features(candidate: str, before: str, after: str, source: str | None, dictio
 
 
 def words(df: DataFrame, text: str = "text") -> frozenset[str]:
-    """The commonest words of three or more letters, at most ``DICTIONARY``, over all texts."""
+    """The commonest words of three or more letters over all texts, about ``DICTIONARY``: what the forest knows as words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
@@ -154,7 +155,17 @@ def words(df: DataFrame, text: str = "text") -> frozenset[str]:
             yield pa.RecordBatch.from_pydict({"w": own.vocabulary.filter(plain), "n": n[plain.to_numpy(zero_copy_only=False)]})
 
     counted = df.select(F.col(text).cast("string").alias("t")).mapInArrow(released(count), "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return frozenset(r["w"] for r in counted.orderBy(F.desc("n"), "w").limit(DICTIONARY).collect())
+    counted = stored(counted, "words")
+    level = F.floor(F.log2("n") * 8)
+    per_level = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()  # a few hundred levels
+    least, share, kept = 0, 0.0, 0
+    for least, words in sorted(((r["level"], r["words"]) for r in per_level), reverse=True):  # noqa: B007
+        share = min(1.0, (DICTIONARY - kept) / words)
+        kept += words
+        if share < 1:  # of the last level that fits, a share by hash
+            break
+    some = F.pmod(F.xxhash64("w"), F.lit(1 << 20)) < int(share * (1 << 20))
+    return frozenset(r["w"] for r in counted.where((level > least) | ((level == least) & some)).select("w").collect())
 
 
 def _featured(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
@@ -172,39 +183,55 @@ def _featured(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
 
 
 def train(featured: DataFrame, seed: int = 7) -> RandomForestClassificationModel | None:
-    """A forest from rows with ``x`` and ``label``, or None without both labels."""
-    order = F.xxhash64("candidate", "before", "after")
-    sides = [featured.where(F.col("label") == v).select("x", "label", order.alias("o"), "candidate").orderBy("o", "candidate").limit(SAMPLE) for v in (0, 1)]
-    sample = sides[0].union(sides[1]).select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
+    """A forest from rows with ``x`` and ``label``, or None without both labels.
+
+    It is saved and read back: a freshly fitted one holds its session, which cannot travel to executors."""
+    counts = {r["label"]: r["count"] for r in featured.where("label IN (0, 1)").groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+    # About SAMPLE findings of each label by hash; equal ones are judged alike, so copies are in or out together.
+    place = F.pmod(F.xxhash64("candidate", "before", "after", "start"), F.lit(1 << 32))
+    share = F.when(F.col("label") == 1, SAMPLE / counts[1]).otherwise(SAMPLE / counts[0])
+    sample = featured.where(F.col("label").isin(0, 1) & (place < share * float(1 << 32)))
+    sample = stored(sample.select("x", F.col("label").cast("double").alias("label")), "findings")
+    sample = sample.select(array_to_vector("x").alias("features"), "label")
     if sample.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=40, maxDepth=8, seed=seed).fit(sample)
+    path = scratch_path(featured.sparkSession, "forest")
+    RandomForestClassifier(numTrees=40, maxDepth=8, seed=seed).fit(sample).write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
-def scan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = None, findings: DataFrame | None = None) -> DataFrame:
+def scan(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = None, findings: DataFrame | None = None, number: str | None = None) -> DataFrame:
     """All candidates with ``score`` (the forest's share for a secret) and ``secret`` (at least one half)."""
     dictionary = words(df, text)
-    found = stored(_featured(candidates(df, key, text, source), dictionary), "candidates")
+    found = stored(_featured(candidates(df, key, text, source, number), dictionary), "candidates")
     labelled = found
     if findings is not None:
-        given = findings.select("candidate", "before", "after", "source", F.col("label").alias("given"))
+        given = findings.select("candidate", "before", "after", "source", F.col("label").alias("given"), F.lit(0).cast("long").alias("start"))
         labelled = _featured(given, dictionary).withColumn("label", F.col("given"))
     forest = train(labelled)
     if forest is None:
-        return found.drop("x", "label").withColumns({"score": F.lit(0.0), "secret": F.lit(False)})
+        sure = F.coalesce(F.col("label") == 1, F.lit(False))
+        return found.withColumns({"score": sure.cast("double"), "secret": sure}).drop("x", "label")
     scored = forest.transform(found.withColumn("features", array_to_vector("x")))
     scored = scored.withColumn("score", vector_to_array("probability")[1])
     return scored.select(*[c for c in found.columns if c not in ("x", "label")], "score", (F.col("score") >= 0.5).alias("secret"))
 
 
-def redact(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` with every secret replaced by ``REDACTED``; other columns unchanged."""
-    secrets = scan(df, key, text).where("secret").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+def redact(df: DataFrame, key: str = "doc_id", text: str = "text", source: str | None = "source") -> DataFrame:
+    """The rows of ``df`` with every secret replaced by ``REDACTED``; other columns unchanged. ``source`` may be missing."""
+    number = "row"
+    while number in df.columns:
+        number += "_"
+    numbered = stored(df.withColumn(number, F.monotonically_increasing_id()), "numbered")  # numbered once, whatever made ``df``
+    found = scan(numbered, key, text, source if source in df.columns else None, number=number)
+    secrets = found.where("secret").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     secrets = light(stored(secrets, "secrets"))
     spare = "spans"
     while spare in df.columns:
         spare += "_"
-    named = df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("kept"))
+    named = numbered.select(F.col(f"`{number}`").alias("row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("kept"))
     joined = named.join(secrets, "row", "left").select("kept.*", F.col("spans").alias(spare))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

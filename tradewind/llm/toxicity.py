@@ -210,13 +210,15 @@ class Model:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
-    """At most ``PER_CLASS`` training texts of each class, chosen by a hash of their id."""
+    """About ``PER_CLASS`` training texts of each class, chosen by a hash of their id."""
     marks = labels.select(F.col("doc_id").alias("k"), F.col("toxic").alias("y")).where("k is not null and y is not null")
     marks = marks.where(remainder("k", 5) != 0).groupBy("k").agg((F.max("y") > 0).alias("y"))
-    order = (F.xxhash64("k"), F.col("k"))
-    chosen = marks.where("y").orderBy(*order).limit(PER_CLASS).union(marks.where("not y").orderBy(*order).limit(PER_CLASS))
+    counts = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
+    place = F.pmod(F.xxhash64("k"), F.lit(1 << 32))
+    share = F.when(F.col("y"), PER_CLASS / counts.get(True, 1)).otherwise(PER_CLASS / counts.get(False, 1))
+    chosen = marks.where(place < share * float(1 << 32))
     texts = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    return texts.join(F.broadcast(chosen), "k").select("t", "y")  # the chosen are 2 * PER_CLASS rows at most
+    return texts.join(F.broadcast(chosen), "k").select("t", "y")  # the chosen are about 2 * PER_CLASS rows
 
 
 def _lexicon(sample: DataFrame) -> list[str]:
@@ -257,7 +259,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     reader = Reader(Automaton(tuple(terms)))
     # Words of harmless texts that resemble a term are no misspellings of it.
     looks = lambda b: {"w": [w for w, k in _resembling(reader, b) if k == 2]}
-    harmless = by_slice(sample.where("not y"), "t", looks, "w string").distinct().limit(20 * MAX_TERMS)
+    harmless = by_slice(sample.where("not y"), "t", looks, "w string").distinct()  # of a bounded sample
     reader = Reader(reader.automaton, frozenset(r["w"] for r in harmless.collect()))
 
     def work(batch: pa.RecordBatch) -> dict:
