@@ -309,6 +309,18 @@ _add("insight_late_reviews_baseline", f"""
     from (select sum(review_count) filter (is_late_delivery) as late,
                  coalesce(sum(review_count) filter (is_late_delivery and predicted_sentiment = 'negative'), 0) as negative from sql_baseline_summary)""")
 
+# facts by date
+_add("dated_orders", """
+    select order_status, count(*) as orders, sum(order_total)::decimal(20,2) as revenue from fact_orders
+    where order_purchase_date between date '1996-11-20' and date '1997-02-10' group by 1""")
+_add("dated_items", """
+    select seller_state, count(*) as items, sum(freight_value)::decimal(20,2) as freight from fact_order_items
+    where order_purchase_date between date '1998-02-01' and date '1998-02-28' group by 1""")
+_add("holiday_orders", """
+    select year_quarter, count(*) as orders, sum(order_total)::decimal(20,2) as revenue
+    from fact_orders join dim_date on date_day = order_purchase_date
+    where is_weekend and year_quarter in ('1996-Q4', '1997-Q4') group by 1""")
+
 # streaming and incremental
 _add("stream_upsert_users", """
     select * from events

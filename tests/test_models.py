@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import rules
 from tradewind.plans import analytics, core, orders, staging
-from tradewind.plans.warehouse import MODELS
+from tradewind.plans.warehouse import MODELS, Warehouse
 from tradewind.tables import source_table
 
 T0 = dt.datetime(2018, 1, 1, 12)
@@ -259,3 +259,35 @@ def test_unused_halves_of_the_fact_are_not_computed(spark, sf_dir):
     for unused in ("o_totalprice", "l_partkey", "text", "c_nationkey"):
         assert unused not in read
     assert "Expand" not in plan
+
+
+# ------------------------------------------------------------------ facts by month
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("fact", ["fact_orders", "fact_order_items"])
+def test_a_range_of_days_reads_only_its_months(warehouse, fact):
+    chosen = warehouse.between(fact, "1996-11-20", "1997-02-10")
+    assert "order_month" in plan_of(chosen.agg(F.count("*"))).split("PartitionFilters: [")[1].split("]")[0]
+    files = chosen.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("order_month=")[1][:7] for r in files} == {"1996-11", "1996-12", "1997-01", "1997-02"}
+    day = F.col("order_purchase_date")
+    whole = warehouse[fact].filter(day.between("1996-11-20", "1997-02-10"))
+    assert chosen.columns == whole.columns and chosen.exceptAll(whole).count() == 0 == whole.exceptAll(chosen).count()
+
+
+def test_chosen_days_of_the_calendar_prune_while_the_query_runs(warehouse):
+    days = warehouse["dim_date"].filter("year_number = 1997 and month_number in (3, 4) and is_weekend")
+    joined = warehouse.on_dates("fact_orders", days)
+    assert "dynamicpruning" in plan_of(joined.agg(F.sum("order_total")))
+    want = warehouse["fact_orders"].join(days, F.col("order_purchase_date") == F.col("date_day"))
+    assert joined.count() == want.count() > 0
+
+
+def test_ranges_over_facts_that_are_not_built(spark, sf_dir, warehouse):
+    lazy = Warehouse.over_market(spark, sf_dir)
+    ranged = lazy.between("fact_orders", "1997-03-01", "1997-03-31")
+    assert ranged.count() == warehouse.between("fact_orders", "1997-03-01", "1997-03-31").count()
+    with pytest.raises(KeyError, match="no fact"):
+        lazy.between("dim_sellers", "1997-03-01", "1997-03-31")

@@ -157,6 +157,35 @@ def snapshot_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(written.items()), "dataset string, rows long")
 
 
+def _built_facts(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return Warehouse.over_market(spark, sf_dir).build(scratch_path(spark, "facts"), ["fact_orders", "fact_order_items", "dim_date"])
+
+
+def _orders_and_revenue(orders: DataFrame, *by: str) -> DataFrame:
+    return orders.groupBy(*by).agg(F.count("*").alias("orders"), F.sum("order_total").cast("decimal(20,2)").alias("revenue"))
+
+
+@query()
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and revenue by status over a range of days of the built fact, whose other months are not read."""
+    return _orders_and_revenue(_built_facts(spark, sf_dir).between("fact_orders", "1996-11-20", "1997-02-10"), "order_status")
+
+
+@query()
+def dated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and freight by seller state over a range of days of the built item fact."""
+    items = _built_facts(spark, sf_dir).between("fact_order_items", "1998-02-01", "1998-02-28")
+    return items.groupBy("seller_state").agg(F.count("*").alias("items"), F.sum("freight_value").cast("decimal(20,2)").alias("freight"))
+
+
+@query()
+def holiday_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekend orders of two quarters by quarter, chosen in the calendar."""
+    warehouse = _built_facts(spark, sf_dir)
+    days = warehouse["dim_date"].filter(c("is_weekend") & c("year_quarter").isin("1996-Q4", "1997-Q4"))
+    return _orders_and_revenue(warehouse.on_dates("fact_orders", days.select("date_day", "year_quarter")), "year_quarter")
+
+
 # ------------------------------------------------------------------------- insights
 QUERIES |= {
     "insight_peak_month": _over(insights.peak_month, "agg_revenue_monthly"),

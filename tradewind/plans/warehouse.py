@@ -97,6 +97,30 @@ class Warehouse:
                 raise KeyError(f"Unknown model '{name}'. Known models: {', '.join(sorted(MODELS))}")
         return self._frames[name]
 
+    def between(self, name: str, first: str, last: str) -> DataFrame:
+        """Rows of a fact dated ``first`` to ``last`` (both included). Of a built fact only the months that the range
+        touches are read."""
+        day, months = F.col("order_purchase_date"), (first[:7], last[:7])
+        frame = self._with_month(name).filter(F.col(MONTH_PARTITION).between(*map(F.lit, months)))
+        return frame.filter(day.between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).drop(MONTH_PARTITION)
+
+    def on_dates(self, name: str, dates: DataFrame) -> DataFrame:
+        """Rows of a fact on the days of ``dates``, a choice of ``dim_date``, with its columns beside them.
+
+        The join is on day and month, so that the months of the chosen days prune a built fact while the query runs."""
+        fact = self._with_month(name)
+        chosen = dates.withColumns({"_day": F.col("date_day"), "_month": F.date_format("date_day", "yyyy-MM")})
+        same = (fact[MONTH_PARTITION] == chosen["_month"]) & (fact["order_purchase_date"] == chosen["_day"])
+        return fact.join(chosen, same).drop("_day", "_month", MONTH_PARTITION)
+
+    def _with_month(self, name: str) -> DataFrame:
+        if name not in FACTS:
+            raise KeyError(f"'{name}' is no fact, only {', '.join(FACTS)} are laid out by month")
+        if name in self._built:  # partition names are read as text, whatever they look like
+            kinds = self.spark.read.parquet(self.path(name)).drop(MONTH_PARTITION).schema
+            return self.spark.read.schema(kinds.add(MONTH_PARTITION, "string")).parquet(self.path(name))
+        return self[name].withColumn(MONTH_PARTITION, F.date_format("order_purchase_date", "yyyy-MM"))
+
     def path(self, name: str) -> str:
         if not self.tables:
             raise ValueError("this warehouse has no table folder")
