@@ -129,6 +129,11 @@ _SOURCE_NAMES = [n.removeprefix("src_") for n in CTES if n.startswith("src_") an
 _add("load_status", " union all ".join(
     f"select '{n}' as table_name, '{_STRATEGY.get(n, 'merge')}' as load_strategy, "
     f"(select count(*) from src_{n}) as rows_in_table, 2::bigint as loads" for n in _SOURCE_NAMES))
+_add("load_bucket_merge", """
+    select 1 as step, count(*) as rows_in_source, count(distinct customer_id) as rows_loaded, 64::int as buckets_written, 1::bigint as moved from src_customers
+    union all
+    select 2, (select count(*) from src_customers where customer_id = (select min(customer_id) from src_customers)), count(distinct customer_id), 1::int, 1::bigint
+    from src_customers""")
 _KEYS = {
     "customers": "customer_id", "order_items": "order_id, order_item_id", "orders": "order_id",
     "order_payments": "order_id, payment_sequential", "products": "product_id", "sellers": "seller_id",

@@ -124,6 +124,70 @@ def test_reload_changes_nothing_and_correction_updates_in_place(spark, tmp_path)
     assert len(status) == 9 and status["sellers"].rows_in_table == 3 and status["orders"].last_loaded is None
 
 
+def folders(zone, name, version=None):
+    return {r["bucket"]: r["folder"] for r in zone.manifest(name, version).collect()}
+
+
+def test_a_merge_of_one_key_rewrites_one_bucket(spark, tmp_path):
+    zone = RawZone(spark, str(tmp_path), buckets=16)
+    rows = [(f"s{i}", f"{i}", "city", "SP") for i in range(500)]
+    first = zone.load("sellers", sellers(spark, *rows))
+    before = folders(zone, "sellers")
+    assert first["buckets_written"] == len(before) == 16
+    files = {f: f.stat().st_mtime_ns for f in Path(tmp_path).rglob("*.parquet")}
+    done = zone.load("sellers", sellers(spark, ("s7", "7", "MOVED", "RJ")))
+    after = folders(zone, "sellers")
+    changed = [b for b in before if before[b] != after[b]]
+    assert done["buckets_written"] == len(changed) == 1 and done["rows_in_table"] == 500
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items()), "nothing that was there is touched"
+    now = {r.seller_id: r.seller_city for r in zone.read("sellers").collect()}
+    assert len(now) == 500 and now.pop("s7") == "MOVED" and set(now.values()) == {"city"}
+
+
+def test_any_series_of_merges_equals_merging_whole_tables(spark, tmp_path):
+    zone = RawZone(spark, str(tmp_path), buckets=4)
+    columns = source_table("sellers").columns
+    whole = spark.createDataFrame([], source_table("sellers").schema)
+    for step in range(4):
+        rows = [(f"s{i * 7 % 23}" if i % 6 else None, f"{step}", f"c{step}-{i}", "SP") for i in range(step, 20 + step)]
+        batch = sellers(spark, *rows)
+        whole = spark.createDataFrame(merged(whole, batch, ["seller_id"]).collect(), whole.schema)
+        zone.load("sellers", batch)
+        assert sorted(map(tuple, zone.read("sellers").select(*columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_superseded_buckets_go_and_the_version_before_stays(spark, tmp_path):
+    zone = RawZone(spark, str(tmp_path), buckets=2)
+    held = []
+    for step in range(4):
+        zone.load("sellers", sellers(spark, *((f"s{i}", str(step), "c", "SP") for i in range(20))))
+        held.append(zone.read("sellers"))
+    assert held[3].count() == held[2].count() == 20
+    versions = {p.parent.name for p in Path(tmp_path).glob("raw/sellers/*/bucket=*")}
+    assert versions == {r["version"] for r in zone.audit().orderBy(F.desc("sequence")).limit(2).collect()}
+
+
+def test_the_last_load_is_current_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    zone = RawZone(spark, str(tmp_path))
+
+    class Backwards:
+        now = staticmethod(lambda tz=None: dt.datetime(2030 - len(calls), 1, 1, tzinfo=tz))
+
+    calls = []
+    monkeypatch.setattr("tradewind.sources.raw_zone.datetime", Backwards)
+    for city in ("first", "second", "third"):
+        calls.append(city)
+        zone.load("sellers", sellers(spark, ("s1", "1", city, "SP")))
+        assert zone.read("sellers").first().seller_city == city
+
+
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    zone = RawZone(spark, str(tmp_path))
+    zone.load("sellers", sellers(spark, ("s1", "1", "a", "SP")))
+    assert zone.load("sellers", spark.createDataFrame([], source_table("sellers").schema))["buckets_written"] == 0
+    assert zone.read("sellers").count() == 1
+
+
 def test_full_refresh_replaces_and_keeps_duplicates(spark, tmp_path):
     zone = RawZone(spark, str(tmp_path))
     schema = source_table("geolocation").schema

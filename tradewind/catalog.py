@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tradewind.functions import text
 from tradewind.functions.rules import c
@@ -100,6 +100,19 @@ def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone.load_status().join(loads, "table_name").drop("last_loaded")
 
 
+@query()
+def load_bucket_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the customers, then correct one of them: rows, and buckets written by each load."""
+    zone = RawZone(spark, scratch_path(spark, "zone"))
+    customers = market.read(spark, sf_dir, "customers")
+    zone.load("customers", customers)
+    one = customers.agg(F.min("customer_id")).scalar()
+    zone.load("customers", customers.filter(c("customer_id") == one).withColumn("customer_city", F.lit("moved")))
+    moved = zone.read("customers").agg(F.count_if(c("customer_city") == "moved")).scalar()
+    step = F.row_number().over(Window.orderBy("sequence")).alias("step")  # two audit rows
+    return zone.audit().select(step, "rows_in_source", "rows_loaded", "buckets_written").withColumn("moved", moved)
+
+
 @query()
 def validate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all nine tables and check them, published sizes included."""
