@@ -81,7 +81,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", SCRATCH_CODEC).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` whose last reader is done."""
+    for df in written:
+        remove(df.sparkSession, df.scratch)
 
 
 def remove(spark: SparkSession, path: str) -> None:
