@@ -102,12 +102,6 @@ def test_empty_and_untrained(spark):
     check(spark, [(only, "never seen")], 10)
 
 
-def test_blocks():
-    for values in (np.array([], np.int64), np.array([5, 7, 2**40], np.int64), np.array([1, 2**64 - 1], np.uint64), np.array([0.5, -1.0])):
-        assert np.array_equal(katz.unpack(katz.pack(values)), values)
-        assert np.array_equal(katz.unpack(katz.pack(values, True), True), values)
-
-
 def test_rare_words_keep_their_pairs(spark):
     """More words than any fixed table: each keeps what followed it."""
     rows = [(i, " ".join(f"w{i}x{j} w{i}y{j}" for j in range(2_000))) for i in range(50)]

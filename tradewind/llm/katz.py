@@ -33,44 +33,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import Words, light, slices, stored, strings
-from tradewind.session import split_crowded_keys
+from tradewind.llm.hashing import hash64
+from tradewind.llm.text import Words, light, released, slices, stored, strings
+from tradewind.session import discard, split_crowded_keys
 
 VOCABULARY = math.inf
 ORDER = 2
 DISCOUNTED = 5
-SLICE = 16_000_000
 START, END, OTHER = (np.int64(0x5AFE0000_0000_0000 + i) for i in range(3))
 
 
-def pack(values: np.ndarray, ascending: bool = False) -> bytes:
-    """A column of numbers, compressed byte plane by byte plane; ascending ones as differences."""
-    if ascending and len(values):
-        values = np.diff(values, prepend=values.dtype.type(0))
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
-    head = f"{values.dtype.str}{len(values)}".encode().ljust(24)
-    return head + (pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b"")
-
-
-def unpack(block: bytes, ascending: bool = False) -> np.ndarray:
-    kind, n = block[:3].decode(), int(block[3:24])
-    if not n:
-        return np.empty(0, kind)
-    width = np.dtype(kind).itemsize
-    planes = pa.decompress(block[24:], decompressed_size=n * width, codec="zstd").to_pybytes()
-    values = np.frombuffer(planes, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
-    return np.cumsum(values, dtype=kind) if ascending else values
-
-
-def hashed(vocabulary: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(np.array(vocabulary.to_pylist(), dtype=object), categorize=False)
-
-
 def mixed(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Spark's ``xxhash64(context, suffix)``."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -108,7 +84,7 @@ class Texts:
     @classmethod
     def of(cls, texts: pa.Array, common: np.ndarray | None) -> Texts:
         words = Words.of(texts, lower=True)
-        own = hashed(words.vocabulary).view(np.int64)[words.codes] if len(words.codes) else np.empty(0, np.int64)
+        own = hash64(words.vocabulary).view(np.int64)[words.codes]
         classes = own if common is None else np.where(np.isin(own, common), own, OTHER)
         tokens = np.insert(classes, np.cumsum(words.counts), END)  # an end after each text's words
         sizes = words.counts + 1
@@ -130,7 +106,7 @@ def counted(docs: DataFrame, order: int, common: np.ndarray | None) -> DataFrame
     """``context``, ``suffix`` and count ``n`` of the training n-grams; words if ``order`` is 1, by ``suffix``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(batches, "text"):
             texts = Texts.of(strings(batch.filter(batch.column("train")).column("text")), common)
             if order == 1:
                 suffix, n = np.unique(texts.own, return_counts=True)
@@ -141,7 +117,7 @@ def counted(docs: DataFrame, order: int, common: np.ndarray | None) -> DataFrame
                 yield pa.RecordBatch.from_pydict({"context": context[place], "suffix": suffix[place], "n": n})
 
     keys = ["suffix"] if order == 1 else ["context", "suffix"]
-    rows = docs.mapInArrow(count, "".join(f"{k} long, " for k in keys) + "n long")
+    rows = docs.mapInArrow(released(count), "".join(f"{k} long, " for k in keys) + "n long")
     return stored(rows.groupBy(*keys).agg(F.sum("n").alias("n")), f"grams-{order}")
 
 
@@ -203,7 +179,7 @@ def fit(docs: DataFrame, order: int = ORDER, vocabulary: float = VOCABULARY) ->
         inside = math.log10((rare[0] + 1) / (sum(rare) + 1))
         own = own.union(spark.createDataFrame([(int(OTHER), inside, None)], "id long, v double, b double"))
 
-    opening, parts = 0.0, []
+    opening, parts, used = 0.0, [], [words, lower]
     for k, start in enumerate(starts(order), 2):
         grams = counted(docs, k, common)
         n = F.col("n")
@@ -211,6 +187,7 @@ def fit(docs: DataFrame, order: int = ORDER, vocabulary: float = VOCABULARY) ->
         factors = F.array(*[F.lit(float(x)) for x in discounts(types)])
         gained = F.element_at(factors, F.when(n <= DISCOUNTED, n).otherwise(0).cast("int") + 1) * n
         priced = stored(grams.join(light(lower), grams["suffix"] == lower["id"]).select("context", "suffix", "n", gained.alias("g"), "p"), "priced")
+        discard(grams)
         mass = priced.groupBy("context").agg(F.sum("n").alias("all"), F.sum("g").alias("s"), F.sum("p").alias("u"))
         left, free, held = 1 - F.col("s") / F.col("all"), 1 - F.col("u"), F.col("all")
         full = free <= 1e-9  # every class has followed
@@ -221,21 +198,25 @@ def fit(docs: DataFrame, order: int = ORDER, vocabulary: float = VOCABULARY) ->
             F.when(full, 0.0).when(bare, -F.log10(held + 1) - F.log10(free)).otherwise(F.log10(left) - F.log10(free)).alias("backoff"),
         ), "contexts")
         opening += sum(r["backoff"] for r in contexts.where(F.col("id") == int(start)).collect())
+        used += [priced, contexts]
         weights = contexts.select("id", F.col("backoff").alias("v"), F.lit(None).cast("double").alias("b"))
         parts.append(own.union(weights).groupBy("id").agg(F.sum("v").alias("v"), F.sum("b").alias("b")))
         p = F.col("g") * F.col("scale")
         named = priced.join(light(contexts), priced["context"] == contexts["id"]).select(F.xxhash64("context", "suffix").alias("id"), p.alias("p"), (F.log10(p) - F.col("backoff") - F.log10("p")).alias("more"))
         if k < order:
             named = stored(named, "named")
+            used.append(named)
             lower = named.select("id", "p")
         own = named.select("id", F.col("more").alias("v"), F.lit(None).cast("double").alias("b"))
     values = own
     for part in parts:
         values = values.union(part)
+    values = stored(values, "values")
+    discard(*used)
     smallest = -math.log10(shares)
     base = -math.log10(total + different + (texts > 0) + 1)
     end = math.log10(texts + 1)
-    return Model(stored(values, "values"), common, total, texts, (smallest, base), (end + smallest + opening, end + base))
+    return Model(values, common, total, texts, (smallest, base), (end + smallest + opening, end + base))
 
 
 def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
@@ -244,7 +225,7 @@ def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every hash in a text, once, and how often; below zero for words."""
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(batches, "text"):
             texts = Texts.of(strings(batch.column("text")), common)
             sets = [(texts.own, texts.owner, -1), *((gram, texts.at, 1) for _, _, gram in texts.grams(order))]
             if common is not None:
@@ -258,7 +239,7 @@ def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
                 place = pa.array(owner[new])
                 yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(place), "doc_id": batch.column("doc_id").take(place), "id": ids[new], "times": times.astype(np.int32)})
 
-    asked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(ask, "row long, doc_id long, id long, times int")
+    asked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(released(ask), "row long, doc_id long, id long, times int")
     sums = asked.join(model.values, "id", "left").groupBy("row", "doc_id").agg(
         F.sum(F.when(F.col("times") < 0, -F.col("times")).otherwise(0)).alias("words"),
         F.sum(F.when((F.col("times") < 0) & F.col("b").isNotNull(), -F.col("times")).otherwise(0)).alias("known"),
