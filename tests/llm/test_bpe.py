@@ -56,3 +56,27 @@ def test_empty_and_repeated(spark):
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), PATH, decoded=True).count() == 0
     rows = [(1, "same text", "x", 1)] * 2 + [(None, "b" * 9_000, "y", 2)] * 2
     assert bpe.encode(spark.createDataFrame(rows, "doc_id long, text string, ids string, row int"), PATH).count() == 4
+
+
+def test_seams_anywhere(library):
+    """Halves of any text cut anywhere join to the ids of the whole, words, spaces and added tokens included."""
+    rng = random.Random(8)
+    whole = lambda text: library.encode(text, add_special_tokens=False).ids
+    bits = ["the", " of", "  ", "\n", " 12", "don't", "é", "日本", "<|endoftext|>", " <|endoftext|>", "...", " a", "\t", "ing", "\u3000", "$%", "x" * 30]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 160)))
+        cut = rng.randint(0, len(text))
+        sides = [(t, whole(t)) for t in (text[:cut], text[cut:])]
+        assert bpe.seamless(*sides, whole) == (text, whole(text))
+
+
+def test_long_ordinary_texts_are_halved(spark, library, monkeypatch):
+    """A row of the test table is long enough to be dealt out, and so is every text once the bound is low."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    assert table.where(f"length(text) >= {bpe.LONG}").count() > 0
+    for long, half, rows in ((bpe.LONG, bpe.HALF, table.where(f"length(text) >= {bpe.LONG}")), (60, 25, table.where("doc_id < 60"))):
+        monkeypatch.setattr(bpe, "LONG", long)
+        monkeypatch.setattr(bpe, "HALF", half)
+        shuffled = rows.repartition(5).orderBy("text").repartition(3)
+        found = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(shuffled, PATH).collect()}
+        assert found == {r["doc_id"]: library.encode(r["text"], add_special_tokens=False).ids for r in rows.collect()}

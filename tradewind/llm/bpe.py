@@ -1,14 +1,16 @@
-"""Byte-level BPE over whole texts, long unsplit runs by tree concatenation.
-
-Most texts are encoded where they lie, each distinct chunk once. A text with a run of ``LEAF`` or
-more characters that the pre-tokenizer does not split is dealt out: its long runs are halved until
-the parts are short, parts are encoded side by side on all executors, and neighbours are joined
-pair by pair up the tree. A join re-encodes a window of tokens around the seam and widens it until
-the window's first token and last token (or the text's ends) are those of the two sides; as a token
-sequence is the encoding of its text exactly if every two neighbours are, the joined ids are those
-of the whole run.
-
-Null text counts as empty and has no ids. Rows with equal ids or texts are encoded row by row.
+"""Byte-level BPE over whole texts; long ones by tree concatenation.
+
+A text of ``LONG`` or more characters is halved until its parts have at most ``HALF``; the parts are rows of
+their own that are encoded side by side on all executors, and neighbours are joined pair by pair up the
+tree. A join re-encodes a window around the seam, from a place before it to a place after it where the
+pre-tokenizer always splits, and widens it until what it re-encodes are the ids of both sides at its
+ends. A run of ``LEAF`` or more characters that nothing splits is halved in the same way by itself; its
+windows are tokens, widened until the window's first and last token (or the run's ends) are those of the
+two sides: as a token sequence is the encoding of its text exactly if every two neighbours are, the
+joined ids are those of the whole run. Shorter texts are encoded where they lie, each distinct chunk once.
+
+Null text counts as empty and has no ids. Rows with equal ids or texts are encoded row by row; long rows
+are numbered and written once, whatever made the table.
 """
 
 from __future__ import annotations
@@ -22,11 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.text import by_slice, slices, strings
+from tradewind.llm.text import by_slice, slices, stored, strings
 from tradewind.llm.tokens import Encoder
 
 LEAF = 4096
-SLICE = 6_000_000
+LONG, HALF = 16_384, 8192
+WINDOW = 64  # characters on each side of a seam, at first
+SLICE = 2_000_000
+# Between other characters a lone space always begins a chunk of its own word.
+BREAK = re.compile(r"(?<=\S)(?= \S)")
 
 
 def halves(run: str, leaf: int = LEAF) -> list[str]:
@@ -59,13 +65,61 @@ def tree(leaves: list[list[int]], encode: Callable[[str], list[int]], spell: Cal
     return leaves[0] if leaves else []
 
 
+def seamless(left: tuple[str, list[int]], right: tuple[str, list[int]], encode: Callable[[str], list[int]]) -> tuple[str, list[int]]:
+    """Two encoded texts joined."""
+    (a, own), (b, other) = left, right
+    width = WINDOW
+    while True:
+        starts = [m.start() for m in BREAK.finditer(a, max(0, len(a) - width))] if width < len(a) else [0]
+        ends = [m.start() for m in BREAK.finditer(b, 0, width)] if width < len(b) else [len(b)]
+        if starts and ends:
+            tail, head = encode(a[starts[0] :]), encode(b[: ends[-1]])
+            if own[len(own) - len(tail) :] == tail and other[: len(head)] == head:  # the sides agree at both ends
+                return a + b, own[: len(own) - len(tail)] + encode(a[starts[0] :] + b[: ends[-1]]) + other[len(head) :]
+        width *= 2
+
+
 def _spelling(encoder: Encoder) -> tuple[Callable[[str], list[int]], Callable[[list[int]], str]]:
     """Encoding of a run as the model's own letters, and the letters of ids."""
     model, names = encoder.tokenizer.model, encoder.tokenizer.id_to_token
     return lambda run: [t.id for t in model.tokenize(run)], lambda ids: "".join(names(i) for i in ids)
 
 
-def _long(text: str) -> str:
+def _halved(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """``row`` and ``ids`` of long texts without long runs: halves as rows of their own, joined text by text."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            own, leaf, parts = [], [], []
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = halves(text, HALF)
+                own += [row] * len(found)
+                leaf += range(len(found))
+                parts += found
+            yield pa.RecordBatch.from_pydict({"row": pa.array(own, pa.int64()), "leaf": pa.array(leaf, pa.int64()), "text": pa.array(parts, pa.string())})
+
+    def encode(batch: pa.RecordBatch) -> dict:
+        ids, counts = Encoder(tokenizer).spaced(strings(batch.column("text")))
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        return {"row": batch.column("row"), "leaf": batch.column("leaf"), "text": batch.column("text"), "ids": pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))}
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        library = Encoder(tokenizer).tokenizer
+        whole = lambda text: library.encode(text, add_special_tokens=False).ids
+        ordered = rows.sort_values("leaf")
+        level = [(text, list(map(int, ids))) for text, ids in zip(ordered["text"], ordered["ids"], strict=True)]
+        while len(level) > 1:
+            paired = [seamless(level[i], level[i + 1], whole) for i in range(0, len(level) - 1, 2)]
+            level = paired + level[len(paired) * 2 :]
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "ids": [level[0][1]]})
+
+    dealt = rows.select("row", "text").mapInArrow(deal, "row long, leaf long, text string").repartition("row", "leaf")
+    encoded = by_slice(dealt, "text", encode, "row long, leaf long, text string, ids array<int>")
+    return encoded.groupBy("row").applyInPandas(join, "row long, ids array<int>")
+
+
+def _run(text: str) -> str:
+    """A condition: a run that nothing splits."""
     return f"length({text}) >= {LEAF} AND {text} RLIKE '\\\\S{{{LEAF}}}|\\\\s{{{LEAF}}}'"
 
 
@@ -149,9 +203,11 @@ def encode(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         ids, counts = encoder.spaced(strings(batch.column("text")))
         return _columns(batch.column("doc_id"), ids, counts, encoder, decoded)
 
-    here = by_slice(frame.where(f"NOT ({_long('text')})"), "text", work, schema)
-    rows = frame.where(_long("text")).withColumn("row", F.monotonically_increasing_id())
-    far = rows.select("row", "doc_id").join(_dealt(rows, tokenizer), "row", "left").select("doc_id", "ids")
+    long = f"length(text) >= {LONG} OR ({_run('text')})"
+    here = by_slice(frame.where(f"NOT ({long})"), "text", work, schema)
+    rows = stored(frame.where(long).withColumns({"row": F.monotonically_increasing_id(), "runs": F.expr(_run("text"))}), "long")
+    ids = _dealt(rows.where("runs"), tokenizer).union(_halved(rows.where("NOT runs"), tokenizer))
+    far = rows.select("row", "doc_id").join(ids, "row", "left").select("doc_id", "ids")
     if decoded:
         far = decode(far, tokenizer)
     return here.union(far.select(*here.columns))
