@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -62,13 +63,30 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
+        session = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS[session] = _LOCAL_ROOTS.get(session) or _local_root(spark)
     return f"{root.rstrip('/')}/tradewind-{spark.sparkContext.applicationId}"
 
 
+# Of local sessions without the setting, which cannot be changed while they run.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def _local_root(spark: SparkSession) -> str:
+    """A folder beside the warehouse of a local session, or its JVM's temporary folder where that cannot be written."""
+    jvm = spark._jvm
+    for folder in (f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch", jvm.System.getProperty("java.io.tmpdir")):
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        try:
+            if place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place):
+                return folder
+        except Py4JJavaError:
+            continue
+    raise RuntimeError("set spark.checkpoint.dir to a folder that can be written")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
