@@ -101,20 +101,20 @@ def _halved(rows: DataFrame, tokenizer: str) -> DataFrame:
     def encode(batch: pa.RecordBatch) -> dict:
         ids, counts = Encoder(tokenizer).spaced(strings(batch.column("text")))
         ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        return {"row": batch.column("row"), "leaf": batch.column("leaf"), "text": batch.column("text"), "ids": pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))}
+        return {"row": batch.column("row"), "leaf": batch.column("leaf"), "ids": pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))}
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        library = Encoder(tokenizer).tokenizer
-        whole = lambda text: library.encode(text, add_special_tokens=False).ids
-        ordered = rows.sort_values("leaf")
-        level = [(text, list(map(int, ids))) for text, ids in zip(ordered["text"], ordered["ids"], strict=True)]
+        encoder = Encoder(tokenizer)
+        whole = lambda text: encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        # Ids spell their text byte by byte, so it need not travel with them.
+        level = [(_spelt(ids, np.array([0, len(ids)]), encoder)[0].as_py(), ids.tolist()) for ids in rows.sort_values("leaf")["ids"]]
         while len(level) > 1:
             paired = [seamless(level[i], level[i + 1], whole) for i in range(0, len(level) - 1, 2)]
             level = paired + level[len(paired) * 2 :]
         return pd.DataFrame({"row": rows["row"].iloc[:1], "ids": [level[0][1]]})
 
     dealt = rows.select("row", "text").mapInArrow(deal, "row long, leaf long, text string").repartition("row", "leaf")
-    encoded = by_slice(dealt, "text", encode, "row long, leaf long, text string, ids array<int>")
+    encoded = by_slice(dealt, "text", encode, "row long, leaf long, ids array<int>")
     return encoded.groupBy("row").applyInPandas(join, "row long, ids array<int>")
 
 
