@@ -24,3 +24,11 @@ def test_every_character(spark):
     for row in rows:
         assert row["n"] == plain(row["t"])
     assert {r["t"]: r["n"] for r in rows}["é Ⅱ ﬁ"] == "e ii fi"
+
+
+def test_letters_written_out_cost_no_scan_of_ascii(spark):
+    """Texts are cut at characters of several letters, at the first and last place, too; each is translated once."""
+    values = ["Ⅳ end ﬁ", "ﬃ", "a🄐b", "ＡＢ ㎏x", "plain", "日本 ™", "", None]
+    rows = spark.createDataFrame([(v,) for v in values], "t string").select("t", text.normalise(text.F.col("t")).alias("n"))
+    assert {r["t"]: r["n"] for r in rows.collect()} == {v: None if v is None else plain(v) for v in values}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
