@@ -348,3 +348,13 @@ def test_no_row_per_text_and_term(spark):
     corpus = reviews(spark, 10)
     plan = sentiment.corpus(corpus, orders_of(corpus)).withColumn("digest", F.md5("clean_text"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") == 1
+
+
+def test_baseline_counts_each_training_row(spark):
+    """An order that comes twice is two documents, as in the SQL."""
+    corpus = reviews(spark, 60)
+    orders = orders_of(corpus)
+    once = sentiment.baseline(corpus, orders).tables["log_odds"].filter("block = 'intercept'").first()
+    twice = sentiment.baseline(corpus, orders.union(orders)).tables["log_odds"]
+    assert twice.filter("block = 'intercept'").first()["documents"] == 2 * once["documents"]
+    assert twice.filter("block = 'words'").agg(F.min("documents")).first()[0] >= 4
