@@ -291,3 +291,11 @@ def test_ranges_over_facts_that_are_not_built(spark, sf_dir, warehouse):
     assert ranged.count() == warehouse.between("fact_orders", "1997-03-01", "1997-03-31").count()
     with pytest.raises(KeyError, match="no fact"):
         lazy.between("dim_sellers", "1997-03-01", "1997-03-31")
+
+
+def test_larger_input_means_more_tasks_not_larger_ones(spark, sf_dir):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    Warehouse.over_market(spark, sf_dir)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "200"
