@@ -299,3 +299,11 @@ def test_larger_input_means_more_tasks_not_larger_ones(spark, sf_dir):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "200"
+
+
+def test_facts_for_whole_readers_are_not_dealt_by_month(spark, sf_dir, warehouse, tmp_path):
+    star = Warehouse.over_market(spark, sf_dir).build(str(tmp_path), ["fact_orders", "dim_date"], by_month=False)
+    assert not list(tmp_path.glob("marts/fact_orders/order_month=*"))
+    assert sorted(star["fact_orders"].collect(), key=str) == sorted(warehouse["fact_orders"].collect(), key=str)
+    days = ("1996-11-20", "1997-02-10")
+    assert star.between("fact_orders", *days).count() == warehouse.between("fact_orders", *days).count() > 0
