@@ -152,3 +152,15 @@ def test_higher_orders(spark, order):
         wanted = sum(math.log10(p(tuple(padded(t)[i : i + order - 1]), w)) for i, w in enumerate(t))
         assert math.isclose(got[key], wanted, rel_tol=1e-9), key
     assert math.isclose(sum(p(("a", "b", "c")[: order - 1], w) for w in [*count, "nowhere"]), 1)
+
+
+def test_words_at_hand_or_joined_give_the_same_scores(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{(i * k) % 13}" for k in range(1, 9))) for i in range(60)] + [(60, None), (60, "w1 new"), (None, "w1 w1")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = []
+    for heavy in (0, 5, 65_536):
+        monkeypatch.setattr(katz, "HEAVY", heavy)
+        rows = katz.score_texts(docs).collect()
+        found.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in rows))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0]) == len(texts)

@@ -44,6 +44,7 @@ from tradewind.session import discard, split_crowded_keys
 VOCABULARY = math.inf
 ORDER = 2
 DISCOUNTED = 5
+HEAVY = 65_536  # words whose values go to every task
 START, END, OTHER = (np.int64(0x5AFE0000_0000_0000 + i) for i in range(3))
 
 
@@ -140,6 +141,7 @@ class Model:
     words is added besides."""
 
     values: DataFrame
+    heavy: tuple[np.ndarray, np.ndarray, np.ndarray]  # ids, ``v`` and ``b`` of the commonest words, by id
     common: np.ndarray | None
     total: int  # training tokens
     ends: int  # training texts
@@ -212,19 +214,22 @@ def fit(docs: DataFrame, order: int = ORDER, vocabulary: float = VOCABULARY) ->
     for part in parts:
         values = values.union(part)
     values = stored(values, "values")
+    often = values.join(F.broadcast(commonest(words, HEAVY).select(F.col("suffix").alias("id"))), "id").toArrow().sort_by("id")
+    heavy = tuple(often.column(x).to_numpy() for x in ("id", "v", "b"))
     discard(*used)
     smallest = -math.log10(shares)
     base = -math.log10(total + different + (texts > 0) + 1)
     end = math.log10(texts + 1)
-    return Model(values, common, total, texts, (smallest, base), (end + smallest + opening, end + base))
+    return Model(values, heavy, common, total, texts, (smallest, base), (end + smallest + opening, end + base))
 
 
 def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` of each row."""
-    common = model.common
+    common, (often, v, b) = model.common, model.heavy
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every hash in a text, once, and how often; below zero for words."""
+        """Every hash in a text, once, and how often; below zero for words. Of the commonest words, whose values are at
+        hand, only sums: a row a text, with ``known`` and an id that serves to deal it out."""
         for batch in slices(batches, "text"):
             texts = Texts.of(strings(batch.column("text")), common)
             sets = [(texts.own, texts.owner, -1), *((gram, texts.at, 1) for _, _, gram in texts.grams(order))]
@@ -236,15 +241,27 @@ def score(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
                 ids, owner = ids[by], owner[by]
                 new = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (owner[1:] != owner[:-1])][: len(ids)])
                 times = np.diff(np.r_[new, len(ids)]) * sign
-                place = pa.array(owner[new])
-                yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(place), "doc_id": batch.column("doc_id").take(place), "id": ids[new], "times": times.astype(np.int32)})
-
-    asked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(released(ask), "row long, doc_id long, id long, times int")
-    sums = asked.join(model.values, "id", "left").groupBy("row", "doc_id").agg(
+                ids, owner = ids[new], owner[new]
+                if sign < 0 and len(often):
+                    at = np.minimum(np.searchsorted(often, ids), len(often) - 1)
+                    here = often[at] == ids
+                    at, whose, n = at[here], owner[here], -times[here]
+                    total = lambda x: np.bincount(whose, x, len(texts.first))  # noqa: E731, B023
+                    words = total(n).astype(np.int32)
+                    rows = batch.column("row")
+                    yield pa.RecordBatch.from_pydict({"row": rows, "doc_id": batch.column("doc_id"), "id": rows, "times": -words, "known": words, "v": total(n * v[at]), "b": total(n * b[at])})
+                    ids, owner, times = ids[~here], owner[~here], times[~here]
+                place, nothing = pa.array(owner), len(ids)
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(place), "doc_id": batch.column("doc_id").take(place), "id": ids, "times": times.astype(np.int32), **{x: pa.nulls(nothing, kind) for x, kind in (("known", pa.int32()), ("v", pa.float64()), ("b", pa.float64()))}})
+
+    asked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(released(ask), "row long, doc_id long, id long, times int, known int, v double, b double")
+    values = model.values.select("id", F.col("v").alias("_v"), F.col("b").alias("_b"))
+    here = F.col("known").isNotNull()
+    sums = asked.join(values, "id", "left").groupBy("row", "doc_id").agg(
         F.sum(F.when(F.col("times") < 0, -F.col("times")).otherwise(0)).alias("words"),
-        F.sum(F.when((F.col("times") < 0) & F.col("b").isNotNull(), -F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.abs("times") * F.col("v")).alias("v"),
-        F.sum(F.abs("times") * F.col("b")).alias("b"),
+        F.sum(F.when(here, F.col("known")).when((F.col("times") < 0) & F.col("_b").isNotNull(), -F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.when(here, F.col("v")).otherwise(F.abs("times") * F.col("_v"))).alias("v"),
+        F.sum(F.when(here, F.col("b")).otherwise(F.abs("times") * F.col("_b"))).alias("b"),
     )
     summed = lambda name, i: F.coalesce(F.col(name), F.lit(0.0)) + F.col("words") * model.per_word[i] + model.per_text[i]
     return sums.select(
