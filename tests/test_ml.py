@@ -98,6 +98,19 @@ def test_all_models_in_one_pass_equal_separate_fits(spark):
         assert together[i][0] == pytest.approx(cost) and np.allclose(together[i][1], centers)
 
 
+def test_a_round_holds_no_distance_per_point_centre_and_dimension():
+    """Equal centres go to the first, distances are exact, and one block of points needs little time with many centres."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(4096, 4))
+    centers = np.vstack([rng.normal(size=(6, 4)), points[:1], points[:1]])
+    points[7] = points[0]
+    mine, least = segmentation._dealt(np.ascontiguousarray(points.T), centers)
+    gaps = ((points[:, None] - centers[None]) ** 2).sum(axis=2)
+    assert mine.argmax(axis=0).tolist() == gaps.argmin(axis=1).tolist()
+    assert mine.sum(axis=0).tolist() == [1] * len(points) and least.tolist() == gaps.min(axis=1).tolist()
+    assert least[0] == least[7] == 0 and mine[7].sum() == 0
+
+
 def test_sweep_takes_the_best_start_and_any_layout_gives_the_same(spark):
     points, frame = blobs(spark)
     found = segmentation.sweep(frame, range(3, 7), 42, 4)
