@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind.session import scratch_root
 from tradewind.sources import csv_files, provenance
 from tradewind.sources.raw_zone import RawZone, ValidationError, key_counts, latest_per_key, merged
 from tradewind.tables import SOURCE_TABLES, source_table
@@ -144,6 +145,20 @@ def test_a_merge_of_one_key_rewrites_one_bucket(spark, tmp_path):
     assert len(now) == 500 and now.pop("s7") == "MOVED" and set(now.values()) == {"city"}
 
 
+def test_a_merge_writes_its_rows_once_and_a_file_per_bucket(spark, tmp_path):
+    zone = RawZone(spark, str(tmp_path), buckets=16)
+    scratch = Path(scratch_root(spark))
+    before = set(scratch.glob("*"))
+    rows = [(f"s{i}", f"{i}", "city", "SP") for i in range(3000)]
+    zone.load("sellers", sellers(spark, *rows))
+    zone.load("sellers", sellers(spark, *((k, z, "moved", s) for k, z, _, s in rows[::2])))
+    assert set(scratch.glob("*")) == before, "no copy beside the buckets"
+    written = [list(Path(tmp_path, "raw", "sellers", f).glob("*.parquet")) for f in folders(zone, "sellers").values()]
+    assert len(written) == 16 and max(map(len, written)) == 2, "one of new rows, one of rows that stay"
+    cities = [r.seller_city for r in zone.read("sellers").collect()]
+    assert (cities.count("moved"), cities.count("city")) == (1500, 1500)
+
+
 def test_any_series_of_merges_equals_merging_whole_tables(spark, tmp_path):
     zone = RawZone(spark, str(tmp_path), buckets=4)
     columns = source_table("sellers").columns
