@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tradewind.llm import ngram_join
@@ -129,3 +130,34 @@ def test_one_row_is_kept_of_a_shuffled_table(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, node long").repartition(7).orderBy("text").repartition(5)
     kept = ngram_join.keep_one(frame)
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4] and kept.columns == frame.columns
+
+
+def test_sketches_never_rule_out_similar_sets():
+    draw = np.random.default_rng(2)
+    for n in [1, 2, 3, 7, 40, 300, 5_000] * 20:
+        whole = draw.integers(0, 2**63, n + n // 3, dtype=np.uint64)
+        a, b = whole[: n + int(draw.integers(0, n // 3 + 1))], whole[int(draw.integers(0, n // 3 + 1)) :]
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            assert ngram_join._near(*(ngram_join._opened(ngram_join._sketch(x)) for x in (a, b)))
+    far = [ngram_join._opened(ngram_join._sketch(draw.integers(0, 2**63, n, dtype=np.uint64))) for n in (300, 320)]
+    assert not ngram_join._near(*far)
+
+
+def test_whole_sets_move_only_for_pairs_that_may_be_similar(spark, monkeypatch):
+    """Texts that share a passage, but are not similar, are told apart by their sketches."""
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcdef") for _ in range(6))
+    passages = [" ".join(word() for _ in range(30)) for _ in range(4)]
+    rows = [(i, " ".join([passages[i % 4], *(word() for _ in range(70))])) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(10)]
+    sent, match = [], ngram_join._matched
+
+    def counted(pairs, contents, hubs_held, opened, alike):
+        if alike is ngram_join._similar:
+            sent.append(pairs.count())
+        return match(pairs, contents, hubs_held, opened, alike)
+
+    monkeypatch.setattr(ngram_join, "_matched", counted)
+    assert found(spark, rows) == brute(rows)
+    assert sum(sent) == 10

@@ -12,8 +12,10 @@ first ``n - ceil(3n/4) + 1`` tokens of both under any fixed order of all tokens.
 4. every pair that shares a token and is not yet in one component is compared as well, so no link
    between components is lost.
 
-A pair is compared by first asking for a common prefix token under two further orders (hashes of
-the tokens with different salts); pairs that share one under each are verified on their whole sets.
+A pair is compared by sketches first: how many tokens fall into each of about as many buckets as a
+set has tokens, which bounds what two sets can share. Only the pairs left move whole sets; they are
+asked for a common prefix token under two further orders (hashes of the tokens with different salts),
+and those that share one under each are verified on their whole sets.
 
 Null text and text without words give an empty set, linked with nothing. Rows with the same id, a
 null id or equal text are rows of their own; a component's id is the smallest id of its rows, null
@@ -22,7 +24,7 @@ if none has one. Sets are told apart by 64-bit fingerprints. An empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ COMMON = 400_000
 HELD = 400_000
 # Sets that a comparing task holds, and pairs for it, about.
 HUBS, PAIRS = 2048, 100_000
+SKETCHES = 16 * HUBS  # instead of sets
 NUMBER = "__row_of_ngram_join"
 SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
@@ -146,7 +149,7 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and the bytes of its ``tokens`` for nodes wanted (``node``, ``id`` and text hash ``h`` of one row that has
+    """``node``, its ``sketch`` and the bytes of its ``tokens`` for nodes wanted (``node``, ``id`` and text hash ``h`` of one row that has
     it). Rows are found by both, so that rows with one id, or without one, do not multiply."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +161,13 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 if (node := int(sets.prints[i])) not in seen:
                     seen.add(node)
                     found.append(i)
-            yield pa.RecordBatch.from_pydict({"node": sets.prints[found], "tokens": pa.array([sets.of(i).tobytes() for i in found], pa.binary())})
+            own = [sets.of(i) for i in found]
+            yield pa.RecordBatch.from_pydict({"node": sets.prints[found], **{k: pa.array([f(x) for x in own], pa.binary()) for k, f in (("sketch", _sketch), ("tokens", np.ndarray.tobytes))}})
 
     wanted = light(stored(wanted, "wanted"))
     held = wanted.withColumnRenamed("h", "hash")
     found = docs.select("doc_id", "text", "h").join(held, (F.col("h") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "node")
-    return stored(found.mapInArrow(released(run), "node long, tokens binary"), "sets")
+    return stored(found.mapInArrow(released(run), "node long, sketch binary, tokens binary"), "sets")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -172,6 +176,26 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Size of a set, and how many of its tokens have each value of their lowest bits, at most 255; a byte for one or two tokens."""
+    buckets = 1 << max(4, len(tokens).bit_length() - 1)
+    counts = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.int64(len(tokens)).tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _opened(block: bytes) -> tuple[int, np.ndarray]:
+    return int(np.frombuffer(block, np.int64, 1)[0]), np.frombuffer(block, np.uint8, offset=8).astype(np.int32)
+
+
+def _near(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> bool:
+    """The sets may be similar. Their counts differ by no more, in all, than there are tokens that only one of them has."""
+    (n, x), (m, y) = a, b
+    buckets = min(len(x), len(y))
+    apart = int(np.abs(x.reshape(-1, buckets).sum(0) - y.reshape(-1, buckets).sum(0)).sum())
+    both = (n + m - apart) // 2
+    return 100 * both >= 75 * (n + m - both)
+
+
 def _orders(block: bytes) -> list[np.ndarray]:
     """A set's tokens, and those in its prefixes under the further orders."""
     own = np.frombuffer(block, np.uint64)
@@ -187,31 +211,41 @@ def _similar(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
     return 100 * both >= 75 * (len(a[0]) + len(b[0]) - both)
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among rows sorted by place: the sets of its hubs first, which are held, then for each other
-    node a row of its partners among them and a row of its set."""
-    place, hubs, partners = None, {}, []
-    for batch in batches:
-        found: dict[str, list] = {"a": [], "b": []}
-        for block, part, kind, node, listed, tokens in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "kind", "node", "partners", "tokens")), strict=True):
-            if (block, part) != place:
-                place, hubs = (block, part), {}
-            if kind == 0:
-                hubs[node] = _orders(tokens)
-            elif listed is not None:
-                partners = listed
-            else:
-                own = _orders(tokens)
-                near = [hub for hub in partners if _similar(hubs[hub], own)]
-                found["a"] += [min(hub, node) for hub in near]
-                found["b"] += [max(hub, node) for hub in near]
-        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in found.items()})
+def _compared(opened: Callable, alike: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs that are ``alike`` among rows sorted by place: what its hubs have first, which is held, then for each
+    other node a row of its partners among them and a row of what it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, hubs, partners = None, {}, []
+        for batch in batches:
+            found: dict[str, list] = {"a": [], "b": []}
+            for block, part, kind, node, listed, content in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "kind", "node", "partners", "content")), strict=True):
+                if (block, part) != place:
+                    place, hubs = (block, part), {}
+                if kind == 0:
+                    hubs[node] = opened(content)
+                elif listed is not None:
+                    partners = listed
+                else:
+                    own = opened(content)
+                    near = [hub for hub in partners if alike(hubs[hub], own)]
+                    found["a"] += [min(hub, node) for hub in near]
+                    found["b"] += [max(hub, node) for hub in near]
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in found.items()})
+
+    return run
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are similar.
+    """The pairs that are similar: those whose sketches allow it, verified on whole sets."""
+    near = _matched(pairs, sets.select("node", F.col("sketch").alias("content")), SKETCHES, _opened, _near)
+    return _matched(near, sets.select("node", F.col("tokens").alias("content")), HUBS, _orders, _similar)
+
+
+def _matched(pairs: DataFrame, contents: DataFrame, hubs_held: int, opened: Callable, alike: Callable) -> DataFrame:
+    """The pairs that are ``alike``, by the ``content`` of each node.
 
-    Of each pair the node with more pairs is the hub. Hubs are dealt into blocks of about ``HUBS``,
+    Of each pair the node with more pairs is the hub. Hubs are dealt into blocks of about ``hubs_held``,
     which tasks hold; every other node goes once to each block that has partners of it. A block with
     many pairs is held by several tasks, which share the other nodes out."""
     degrees = _nodes(pairs, distinct=False).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
@@ -222,19 +256,19 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = pairs.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("node"))
     pairs = stored(pairs, "pairs")
     size = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("hub").alias("hubs")).first()
-    blocks = max(1, -(-size["hubs"] // HUBS))
+    blocks = max(1, -(-size["hubs"] // hubs_held))
     parts = max(1, -(-size["pairs"] // (blocks * PAIRS)))
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("hub"), F.lit(blocks)))
     hubs = light(stored(pairs.select("block", F.col("hub").alias("node")).distinct(), "hubs"))
     others = light(stored(pairs.select("block", "node").distinct(), "others"))
-    none, whole = F.lit(None).cast("array<long>").alias("partners"), F.lit(None).cast("binary").alias("tokens")
+    none, whole = F.lit(None).cast("array<long>").alias("partners"), F.lit(None).cast("binary").alias("content")
     part = F.pmod(F.xxhash64("node"), F.lit(parts)).cast("long").alias("part")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part")
-    held = sets.join(hubs, "node").select("block", every, F.lit(0).alias("kind"), "node", none, "tokens")
-    sent = sets.join(others, "node").select("block", part, F.lit(1).alias("kind"), "node", none, "tokens")
+    held = contents.join(hubs, "node").select("block", every, F.lit(0).alias("kind"), "node", none, "content")
+    sent = contents.join(others, "node").select("block", part, F.lit(1).alias("kind"), "node", none, "content")
     lists = pairs.groupBy("block", "node").agg(F.collect_list("hub").alias("partners")).select("block", part, F.lit(1).alias("kind"), "node", "partners", whole)
     placed = held.union(sent).union(lists).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "node", F.col("partners").isNull())
-    return stored(placed.mapInArrow(released(_compared), "a long, b long"), "links")
+    return stored(placed.mapInArrow(released(_compared(opened, alike)), "a long, b long"), "links")
 
 
 def _nodes(pairs: DataFrame, distinct: bool = True) -> DataFrame:
