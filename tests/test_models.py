@@ -226,6 +226,20 @@ def test_late_delivery_lowers_scores(warehouse):
     assert row.correlation_coefficient < 0 and row.share_of_delivered_pct == 100
 
 
+def test_the_lateness_total_holds_more_money_than_fourteen_digits(spark):
+    fact = spark.range(300).selectExpr(
+        "true as is_delivered",
+        "timestamp_ntz'2018-01-02 00:00:00' as order_delivered_customer_date",
+        "timestamp_ntz'2018-01-05 00:00:00' as order_estimated_delivery_date",
+        "cast(id % 5 + 1 as int) as review_score",
+        "1 as delivery_days",
+        "9999999999.99BD as order_total",
+    )
+    rows = {r.lateness_bucket: r for r in analytics.agg_delivery_review_correlation(fact).collect()}
+    assert rows["1-9 days early"].revenue == rows["ALL DELIVERED"].revenue == Decimal("2999999999997.00")
+    assert rows["ALL DELIVERED"].order_count == 300
+
+
 def test_same_day_delivery_after_the_promise_is_late_but_in_the_promise_bucket(warehouse):
     fact = warehouse["fact_orders"]
     assert fact.filter("is_late_delivery and days_early_vs_estimate = 0").count() > 0
