@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -332,6 +334,42 @@ def test_reviews_without_known_terms_get_the_intercept(spark):
     assert {r["sentiment_probability"] for r in scored} == {1 / (1 + math.exp(1.0))}
 
 
+def test_the_fit_reads_few_vectors_at_once(spark, monkeypatch):
+    frame = spark.createDataFrame([(1.0, "good ware"), (0.0, "bad ware"), (0.0, "bad bad ware")], "label double, clean_text string")
+    known = spark.createDataFrame([("words", "bad", 0, 1.5), ("words", "ware", 1, 1.0)], "block string, term string, index int, idf double")
+    setting, seen = "spark.sql.parquet.columnarReaderBatchSize", {}
+
+    class Fit:
+        def __init__(self, **options):
+            seen.update(options)
+
+        def fit(self, training):
+            seen["held"] = int(spark.conf.get(setting))
+            seen["rows"] = sorted((r.label, r.features.numNonzeros(), r.weight) for r in training.collect())
+            return SimpleNamespace(coefficients=DenseVector([0.5, 0.0]), intercept=0.25)
+
+    monkeypatch.setattr(sentiment, "LogisticRegression", Fit)
+    weights, intercept = sentiment.fit_weights(sentiment.features(frame, known, "label"))
+    assert seen["held"] <= 64 < int(spark.conf.get(setting))
+    assert seen["rows"] == [(0.0, 2, 0.75), (0.0, 2, 0.75), (1.0, 1, 1.5)] and seen["regParam"] == 1 / 12
+    assert [tuple(r) for r in weights.collect()] == [(0, 0.5)] and intercept == 0.25
+
+
+def test_vectors_are_neither_kept_nor_dealt_out(spark, monkeypatch):
+    kept, plans, keep, fit = [], [], sentiment.materialise, sentiment.fit_weights
+
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(sentiment, "materialise", lambda df, name: kept.extend(df.columns) or keep(df, name))
+    monkeypatch.setattr(sentiment, "fit_weights", lambda training: plans.append(plan(training)) or fit(training))
+    corpus = reviews(spark)
+    sentiment.run(corpus, orders_of(corpus), min_rows=100)
+    assert "clean_text" in kept and "features" not in kept
+    above, _, below = plans[0].partition("MapInArrow")
+    assert "Join" in below and "Join" not in above and "Exchange" not in above
+
+
 def test_holdout_is_exact_for_each_label(spark):
     frame = spark.range(20_003).select(F.col("id").cast("string").alias("order_id"), (F.col("id") % 4 == 0).cast("double").alias("label"))
     split = sentiment.with_holdout(frame)
