@@ -130,6 +130,19 @@ def test_latest_answered_review_wins(spark):
     assert rows["tie"].review_id == "y" and rows["tie"].has_comment is False
 
 
+def test_comments_are_measured_before_reviews_are_shuffled(spark):
+    source = raw(
+        spark,
+        "order_reviews",
+        {"review_id": "a", "order_id": "o", "review_score": 5, "review_comment_message": " fine "},
+        {"review_id": "b", "order_id": "p", "review_score": 1, "review_comment_message": "  "},
+    )
+    frame = staging.stg_order_reviews(source).select("order_id", "has_comment", "comment_length")
+    assert sorted(map(tuple, frame.collect())) == [("o", True, 4), ("p", False, 0)]
+    above_the_scan = frame._jdf.queryExecution().optimizedPlan().toString().rpartition("Project [")[0]
+    assert "Window" in above_the_scan and "review_comment_message" not in above_the_scan
+
+
 def test_products_fall_back_to_the_source_category(spark):
     names = raw(
         spark,
